@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weekloom import constants as K
@@ -47,21 +48,24 @@ def exact_threshold(
     while rows > sort_below:
         probs = [i / cells for i in range(1, cells)]
         splits = sorted(set(left.approxQuantile("v", probs, 0.5 / cells)))
-        at = F.array_position(F.lit(splits), F.col("v"))
-        below = F.size(F.filter(F.lit(splits), lambda s: s < F.col("v")))
-        cell = F.when(at > 0, 2 * at - 1).otherwise(2 * below)
-        counts = dict(left.groupBy(cell.cast("bigint").alias("cell")).count().collect())
+        ranged = Bucketizer(
+            splits=[float("-inf"), *splits, float("inf")], inputCol="v", outputCol="b"
+        ).transform(left)
+        # cell b starts at split b: even = rows equal to it, odd = rows between it and the next
+        at_split = F.when(F.col("b") > 0, F.element_at(F.lit(splits), F.col("b").cast("int")))
+        cell = 2 * F.col("b") + F.when(at_split == F.col("v"), 0).otherwise(1)
+        counts = dict(ranged.groupBy(cell.cast("int").alias("cell")).count().collect())
         for c in sorted(counts):
             if rank <= counts[c]:
                 break
             rank -= counts[c]
-        if c % 2:  # odd: rows equal to a split point
-            return splits[c // 2]
-        low, high = c // 2 - 1, c // 2
-        if low >= 0:
-            left = left.where(F.col("v") > splits[low])
-        if high < len(splits):
-            left = left.where(F.col("v") < splits[high])
+        b = c // 2
+        if c % 2 == 0:
+            return splits[b - 1]
+        if b > 0:
+            left = left.where(F.col("v") > splits[b - 1])
+        if b < len(splits):
+            left = left.where(F.col("v") < splits[b])
         rows = counts[c]
     return left.orderBy("v").offset(rank - 1).limit(1).first()[0]
 
