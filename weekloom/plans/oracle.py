@@ -189,11 +189,11 @@ FEATURES = [
 PROFILE_SELECT = f"SELECT entity_id, segment, {shown(PROFILE)} FROM prof"
 LEVEL = f"""
     SELECT entity_id, day,
-           round((r_regionkey * CAST(25000 AS DOUBLE) + 60000) * (1 + acctbal / 100000)
+           (r_regionkey * CAST(25000 AS DOUBLE) + 60000) * (1 + acctbal / 100000)
              * CASE WHEN is_weekend = 1 THEN r_regionkey * CAST(0.125 AS DOUBLE) + 0.75 ELSE 1 END
              * CASE WHEN is_payday = 1 THEN r_regionkey * CAST(0.0625 AS DOUBLE) + 1.0625 ELSE 1 END
              * CASE WHEN is_event = 1 THEN CAST(1.35 AS DOUBLE) ELSE 1 END
-             * (1 + CAST(0.1 AS DOUBLE) * (day - DATE '{START}') / {N_DAYS}), 4) AS expected
+             * (1 + CAST(0.1 AS DOUBLE) * (day - DATE '{START}') / {N_DAYS}) AS expected
     FROM ent JOIN region ON r_name = segment CROSS JOIN cal"""
 RECORDS_IN_REGION = "daily JOIN ent USING (entity_id)"
 MEANS = ", ".join(f"round(avg({c}), 4) AS {c}" for c in PROFILE)
@@ -222,7 +222,7 @@ def oracle_sql() -> dict[str, str]:
             "ev", "rec",
         ),
         "trend_index": sql(
-            f"""SELECT entity_id, day, value, round(trend, 8) AS trend, round(value / trend, 6) AS level FROM (
+            f"""SELECT entity_id, day, value, trend, value / trend AS level FROM (
                 SELECT *, 1 + CAST(0.1 AS DOUBLE) * (day - DATE '{START}') / {N_DAYS} AS trend FROM daily)""",
             "daily",
         ),

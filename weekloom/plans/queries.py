@@ -107,7 +107,7 @@ def trend_index(spark, sf):
     """Daily value next to the linear trend index, and the value without the trend."""
     trend = cal.trend_index("day", START, END)
     return daily(spark, sf).select(
-        "entity_id", "day", "value", F.round(trend, 8).alias("trend"), F.round(F.col("value") / trend, 6).alias("level")
+        "entity_id", "day", "value", trend.alias("trend"), (F.col("value") / trend).alias("level")
     )
 
 
@@ -140,7 +140,8 @@ def expected_panel(spark, sf):
 
 
 def expected_level(spark, sf):
-    return expected_panel(spark, sf).select("entity_id", "day", F.round("expected", 4).alias("expected"))
+    """Expected level of every supplier and day."""
+    return expected_panel(spark, sf).select("entity_id", "day", "expected")
 
 
 def derived_count(spark, sf):
