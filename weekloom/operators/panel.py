@@ -30,6 +30,7 @@ def fill_slots(
     step: int,
     measures: list[str],
     roles: Roles = Roles(),
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Every entity x every slot (day or week); unseen slots get zero measures.
 
@@ -38,42 +39,42 @@ def fill_slots(
     every row opens the gap up to the next seen one. So only seen slots and one row
     per entity are shuffled, never the dense panel, and the result stays partitioned
     by entity for the windows that follow. A group is bounded by the number of slots.
-    Rows of entities missing in ``entities`` are dropped.
+    Rows of entities missing in ``entities`` are dropped. ``carry`` names further
+    columns of ``entities`` that every row of the entity gets.
     """
     first, last = to_date(first), to_date(last)
     entity, segment = roles.entity, roles.segment
-    anchors = entities.select(
-        entity, segment, F.date_sub(F.lit(first), step).alias(slot)
-    )
+    known = [segment, *carry]
+    anchors = entities.select(entity, *known, F.date_sub(F.lit(first), step).alias(slot), F.lit(True).alias("__anchor"))
     inside = seen.where(F.col(slot).between(F.lit(first), F.lit(last)))
     rows = inside.select(entity, slot, *measures).unionByName(anchors, allowMissingColumns=True)
 
     in_order = Window.partitionBy(entity).orderBy(slot)
     next_seen = F.coalesce(F.lead(slot).over(in_order), F.date_add(F.lit(last), step))
+    of_entity = lambda c: F.first_value(c).over(in_order)  # the anchor comes first
     linked = rows.select(
-        "*",
+        entity,
+        slot,
+        *measures,
+        "__anchor",
         next_seen.alias("__next"),
-        F.first_value(segment).over(in_order).alias("__segment"),
-    ).where(F.col("__segment").isNotNull())
+        of_entity("__anchor").alias("__known"),
+        *[of_entity(c).alias(c) for c in known],
+    ).where("__known")
 
     # positions of the slots a row stands for: itself (unless it is an anchor, 0) and the gap after it
-    from_pos = F.when(F.col(segment).isNotNull(), 1).otherwise(0)
-    to_pos = (F.datediff("__next", slot) / step).cast("int") - 1
+    from_pos = F.when(F.col("__anchor"), 1).otherwise(0)
+    to_pos = F.expr(f"datediff(__next, `{slot}`) div {step}").cast("int") - 1
     opened = F.when(from_pos <= to_pos, F.sequence(from_pos, to_pos))
+    here = F.col("__pos") == 0
+    zero = lambda m: F.lit(0).cast(seen.schema[m].dataType)
     return linked.select(
-        entity,
-        F.col("__segment").alias(segment),
-        F.col(slot).alias("__from"),
-        *measures,
-        F.explode(opened).alias("__pos"),
+        entity, *known, F.col(slot).alias("__from"), *measures, F.explode(opened).alias("__pos")
     ).select(
         entity,
-        segment,
+        *known,
         F.date_add("__from", F.col("__pos") * step).alias(slot),
-        *[
-            F.when(F.col("__pos") == 0, F.col(m)).otherwise(F.lit(0).cast(seen.schema[m].dataType)).alias(m)
-            for m in measures
-        ],
+        *[F.when(here, F.col(m)).otherwise(zero(m)).alias(m) for m in measures],
     )
 
 
@@ -84,10 +85,11 @@ def densify(
     start: Date,
     end: Date,
     roles: Roles = Roles(),
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Entity x day panel with the calendar flags; missing days carry zeros."""
     measures = [roles.value, roles.n_ok, roles.n_failed]
-    dense = fill_slots(daily, entities, roles.day, start, end, 1, measures, roles)
+    dense = fill_slots(daily, entities, roles.day, start, end, 1, measures, roles, carry)
     return dense.join(bounded(days, start, end), roles.day).select(
         roles.entity,
         roles.segment,
@@ -96,6 +98,7 @@ def densify(
         roles.weekend,
         roles.payday,
         roles.event,
+        *carry,
     )
 
 

@@ -92,7 +92,7 @@ def classify_demand(
         weights = importances.select("rank", "feature", "importance").agg(
             F.array_sort(F.collect_list(F.struct("rank", "feature", "importance"))).alias("feature_importance")
         )
-        document = document.join(F.broadcast(weights))
+        document = document.withColumn("feature_importance", weights.scalar())
     if out:
         write_metrics(document, f"{out}/classification_results")
     return Classification(rows, importances, document)
@@ -115,15 +115,14 @@ def segment_demand(
     mix = report.tier_mix(tiered, roles=roles)
     projection, explained = cluster.pca_projection(tiered)
 
-    as_list = lambda df, name: df.agg(F.collect_list(F.struct(*df.columns)).alias(name))  # k or segment rows
-    silhouettes = algorithms.agg(
-        F.map_from_entries(F.collect_list(F.struct("algorithm", "silhouette"))).alias("algorithm_comparison_silhouette")
-    )
-    document = sweep_document(sweep)
-    for part in (silhouettes, as_list(summary, "profile"), as_list(mix, "segment_mix")):
-        document = document.join(F.broadcast(part))  # one row each
-    document = document.withColumns(
+    # each part is one row of k or segment entries
+    as_list = lambda df: df.agg(F.collect_list(F.struct(*df.columns)))
+    silhouettes = algorithms.agg(F.map_from_entries(F.collect_list(F.struct("algorithm", "silhouette"))))
+    document = sweep_document(sweep).withColumns(
         {
+            "algorithm_comparison_silhouette": silhouettes.scalar(),
+            "profile": as_list(summary).scalar(),
+            "segment_mix": as_list(mix).scalar(),
             "pca_explained_variance": F.lit(explained),
             "n_entities": F.lit(profiles.count()),
         }

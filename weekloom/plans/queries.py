@@ -127,7 +127,7 @@ def panel_union(spark, sf):
 
 def expected_panel(spark, sf):
     """Dense panel with the entity scale column and the expected level."""
-    people = star.suppliers(spark, sf).select("entity_id", (1 + F.col("acctbal") / 100000).alias("scale"))
+    people = star.suppliers(spark, sf).withColumn("scale", 1 + F.col("acctbal") / 100000)
     region = star.table(spark, sf, "region")
     levels = region.select(
         F.col("r_name").alias("segment"),
@@ -135,7 +135,7 @@ def expected_panel(spark, sf):
         (F.col("r_regionkey") * 0.125 + 0.75).alias("weekend_factor"),
         (F.col("r_regionkey") * 0.0625 + 1.0625).alias("payday_factor"),
     )
-    scaled = dense(spark, sf).join(people, "entity_id")
+    scaled = panel.densify(daily(spark, sf), people, days(spark), START, END, ROLES, carry=("scale",))
     return panel.expected_level(scaled, levels, START, END, "scale", roles=ROLES)
 
 
