@@ -29,7 +29,7 @@ def sketch_threshold(
 
 
 def exact_threshold(
-    train: DataFrame, column: str = "wd", q: float = 0.5, cells: int = 1000, sort_below: int = 200_000
+    train: DataFrame, column: str = "wd", q: float = 0.5, cells: int = 256, sort_below: int = 200_000
 ) -> float | None:
     """The smallest value with at least a share ``q`` of the rows at or below it.
 
@@ -52,7 +52,8 @@ def exact_threshold(
             splits=[float("-inf"), *splits, float("inf")], inputCol="v", outputCol="b"
         ).transform(left)
         # cell b starts at split b: even = rows equal to it, odd = rows between it and the next
-        at_split = F.when(F.col("b") > 0, F.element_at(F.lit(splits), F.col("b").cast("int")))
+        listed = F.split(F.lit(",".join(map(repr, splits))), ",").cast("array<double>")
+        at_split = F.when(F.col("b") > 0, F.element_at(listed, F.col("b").cast("int")))
         cell = 2 * F.col("b") + F.when(at_split == F.col("v"), 0).otherwise(1)
         counts = dict(ranged.groupBy(cell.cast("int").alias("cell")).count().collect())
         for c in sorted(counts):

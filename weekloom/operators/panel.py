@@ -51,7 +51,8 @@ def fill_slots(
 
     in_order = Window.partitionBy(entity).orderBy(slot)
     next_seen = F.coalesce(F.lead(slot).over(in_order), F.date_add(F.lit(last), step))
-    of_entity = lambda c: F.first_value(c).over(in_order)  # the anchor comes first
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    of_entity = lambda c: F.first_value(c).over(so_far)  # the anchor comes first
     linked = rows.select(
         entity,
         slot,

@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weekloom import constants as K
-from weekloom.functions import exact_sum, is_weekend, week_start
+from weekloom.functions import exact_sum, week_start
+from weekloom.functions.numbers import minor_units
 from weekloom.operators.calendar import Date, bounded, calendar_weeks, to_date
 from weekloom.operators.panel import fill_slots
 from weekloom.roles import Roles
@@ -72,18 +73,25 @@ def weekly_from_records(
     days through a shuffle.
     """
     first, last = whole_weeks(start, end)
-    day = F.col(roles.day)
-    in_range = records.where(day.between(F.lit(first), F.lit(last)))
-    active = F.when(F.col(roles.n_ok) > 0, F.call_function("shiftleft", F.lit(1), F.weekday(day))).otherwise(F.lit(0))
-    seen = (
-        in_range.groupBy(roles.entity, week_start(day).alias(roles.week))
-        .agg(
-            exact_sum(F.col(roles.value), roles.scale).alias("wd"),
-            F.sum(roles.n_ok).alias("tx"),
-            F.sum(roles.n_failed).alias("failed"),
-            exact_sum(_weekend_value(is_weekend(day), roles), roles.scale).alias("wd_weekend"),
-            F.bit_count(F.bit_or(active)).cast("bigint").alias("active_days"),
-        )
+    day, weekday = F.col(roles.day), F.col("__weekday")
+    value = F.col(roles.value) if roles.scale is None else minor_units(F.col(roles.value), roles.scale)
+    # named once, so the aggregation below does not work them out per use
+    prepared = records.where(day.between(F.lit(first), F.lit(last))).select(
+        roles.entity,
+        day,
+        F.weekday(day).alias("__weekday"),
+        value.alias("__value"),
+        roles.n_ok,
+        roles.n_failed,
+    )
+    total = lambda v: F.sum(v) if roles.scale is None else F.sum(v) / F.lit(float(10**roles.scale))
+    active = F.when(F.col(roles.n_ok) > 0, F.call_function("shiftleft", F.lit(1), weekday)).otherwise(F.lit(0))
+    seen = prepared.groupBy(roles.entity, F.date_sub(day, weekday).alias(roles.week)).agg(
+        total(F.col("__value")).alias("wd"),
+        F.sum(roles.n_ok).alias("tx"),
+        F.sum(roles.n_failed).alias("failed"),
+        total(F.when(weekday >= 5, F.col("__value")).otherwise(F.lit(0))).alias("wd_weekend"),
+        F.bit_count(F.bit_or(active)).cast("bigint").alias("active_days"),
     )
     last_week = last - dt.timedelta(6)
     measures = ["wd", "tx", "failed", "wd_weekend", "active_days"]

@@ -27,14 +27,21 @@ DEARER = {"ASIA": 1.25}
 
 DIGITS = {
     **dict.fromkeys(["roll4_wd", "roll4_std", "avg_daily_wd", "p90_daily_wd", "avg_daily_tx", "avg_txn_amount"], 4),
-    **dict.fromkeys(["lag1_avg_amt", "lag1_fail_rate", "lag1_weekend_share", "woy_sin", "woy_cos"], 8),
+    **dict.fromkeys(["woy_sin", "woy_cos"], 8),
     **dict.fromkeys(["cv_wd", "weekend_ratio", "payday_uplift", "peak_to_mean", "fail_rate"], 6),
 }
 
 
 def shown(df: DataFrame, digits: dict[str, int] = DIGITS) -> DataFrame:
-    """Round the named columns, keep the others."""
-    return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])
+    """Round the named columns, keep the others. Plain double arithmetic, and no -0.0."""
+
+    def cell(c: str):
+        if c not in digits:
+            return F.col(c)
+        unit = F.lit(float(10 ** digits[c]))
+        return (F.rint(F.col(c) * unit) / unit + F.lit(0.0)).alias(c)
+
+    return df.select(*map(cell, df.columns))
 
 
 def rounded_all(df: DataFrame, columns: list[str], digits: int) -> DataFrame:
