@@ -7,11 +7,17 @@ week of the calendar, which bounds every window group.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weekloom.functions import floored_ratio, season_cos, season_sin
+from weekloom.operators.calendar import Date, to_date
+from weekloom.operators.rollup import weekly_from_records
 from weekloom.roles import Roles
 
+SPAN = 4  # weeks a feature looks back at most
+
 LAGS = ["lag1_wd", "lag2_wd", "lag1_tx", "lag1_outage_days"]
 ROLLING = ["roll4_wd", "roll4_std"]
 LAG_RATIOS = ["lag1_avg_amt", "lag1_fail_rate", "lag1_weekend_share"]
@@ -40,7 +46,7 @@ def past(roles: Roles = Roles()):
     return Window.partitionBy(roles.entity).orderBy(roles.week)
 
 
-def feature_columns(roles: Roles = Roles(), span: int = 4) -> dict[str, Column]:
+def feature_columns(roles: Roles = Roles(), span: int = SPAN) -> dict[str, Column]:
     """Name -> expression over a weekly roll-up; ``span`` weeks feed the rolling pair."""
     weeks = past(roles)
     trailing = weeks.rowsBetween(-span, -1)
@@ -76,3 +82,24 @@ def drop_warmup(features: DataFrame) -> DataFrame:
 def weekly_features(weekly: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """Complete weekly feature table, warm-up removed."""
     return drop_warmup(add_features(weekly, roles=roles))
+
+
+def recent_features(
+    records: DataFrame,
+    entities: DataFrame,
+    days: DataFrame,
+    since: Date,
+    start: Date,
+    end: Date,
+    roles: Roles = Roles(),
+) -> DataFrame:
+    """Feature rows of weeks starting at ``since`` or later, reading only the days they need.
+
+    Spark keeps a filter on the week above the window, so it would read all history. Here
+    the range itself starts ``SPAN`` weeks earlier, and the day filter reaches the scan.
+    """
+    since, start = to_date(since), to_date(start)
+    monday = since - dt.timedelta(since.weekday())
+    first = max(start, monday - dt.timedelta(7 * SPAN))
+    weekly = weekly_from_records(records, entities, days, first, end, roles)
+    return weekly_features(weekly, roles).where(F.col(roles.week) >= F.lit(since))

@@ -21,6 +21,11 @@ def daily_totals(records: DataFrame, roles: Roles = Roles()) -> DataFrame:
     )
 
 
+def entities_of(records: DataFrame, segment: str = "all", roles: Roles = Roles()) -> DataFrame:
+    """Entity table for records that come without one: every entity seen, one common segment."""
+    return records.select(roles.entity).distinct().withColumn(roles.segment, F.lit(segment))
+
+
 def fill_slots(
     seen: DataFrame,
     entities: DataFrame,

@@ -6,7 +6,7 @@ from weekloom.operators.cluster import VOLUME
 from weekloom.operators.features import LAG_RATIOS, LAGS, NUMERIC, ROLLING
 from weekloom.operators.profile import PROFILE
 from weekloom.plans.queries import CENTERS, DIGITS, SWEEP, TICKET
-from weekloom.sources.star_schema import CUT, END, EVENTS, START
+from weekloom.sources.star_schema import CUT, END, EVENTS, START, USER_END, USER_START
 
 N_DAYS = (END - START).days + 1
 DATES = f"DATE '{START}' AND DATE '{END}'"
@@ -88,13 +88,19 @@ CTE = {
                coalesce(TN / nullif(CAST(TN + FP AS DOUBLE), 0), 0) AS r0,
                coalesce(TP / nullif(CAST(TP + FN AS DOUBLE), 0), 0) AS r1
         FROM conf""",
-    "meas": """
-        SELECT TN, FP, FN, TP, round((TN + TP) / n, 8) AS accuracy,
-               round(s0 * p0 + s1 * p1, 8) AS "precision", round(s0 * r0 + s1 * r1, 8) AS recall,
-               round(s0 * coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0)
-                     + s1 * coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0), 8) AS f1,
-               round(p1, 8) AS high_precision, round(r1, 8) AS high_recall, round(1 - r1, 8) AS high_miss_rate
+    "raw": """
+        SELECT TN, FP, FN, TP, (TN + TP) / n AS accuracy,
+               s0 * p0 + s1 * p1 AS "precision", s0 * r0 + s1 * r1 AS recall,
+               s0 * coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0)
+                 + s1 * coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) AS f1,
+               p1 AS high_precision, r1 AS high_recall, 1 - r1 AS high_miss_rate
         FROM parts""",
+    "meas": "SELECT TN, FP, FN, TP, "
+    + ", ".join(
+        f'round("{c}", 8) AS "{c}"'
+        for c in ("accuracy", "precision", "recall", "f1", "high_precision", "high_recall", "high_miss_rate")
+    )
+    + " FROM raw",
     "cats": f"""
         SELECT segment, count(*) AS n_rows,
                CAST(row_number() OVER (ORDER BY count(*) DESC, segment) - 1 AS DOUBLE) AS loc_idx
@@ -151,7 +157,8 @@ NEEDS = {
     "test": ["lab"],
     "conf": ["test"],
     "parts": ["conf"],
-    "meas": ["parts"],
+    "raw": ["parts"],
+    "meas": ["raw"],
     "cats": ["feat"],
     "base": ["panel"],
     "prof": ["base"],
@@ -181,6 +188,50 @@ def sql(select: str, *needs: str, **override: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({body[n]})" for n in order) + "\n" + select
 
 
+USER_PANEL = {
+    "rec": f"""
+        SELECT user_id AS entity_id, CAST(ts AS DATE) AS day, CAST(value AS DECIMAL(18,2)) AS value,
+               1 AS n_ok, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS n_failed
+        FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '{USER_START}' AND DATE '{USER_END}'""",
+    "ent": "SELECT DISTINCT user_id AS entity_id, 'user' AS segment FROM events",
+    "ev": "SELECT DATE '1900-01-01' AS e",
+    "spine": CTE["spine"].replace(str(START), str(USER_START)).replace(str(END), str(USER_END)),
+}
+
+
+def measures_of(column: str) -> str:
+    """One row of measures for the rule ``column > threshold`` on the test weeks."""
+    rule = f"(SELECT y, CASE WHEN {column} > t THEN 1 ELSE 0 END AS p FROM test)"
+    conf = CTE["conf"].replace("FROM test", f"FROM {rule}")
+    parts = CTE["parts"].replace("FROM conf", f"FROM ({conf})")
+    return CTE["raw"].replace("FROM parts", f"FROM ({parts})")
+
+
+def auc_of(column: str) -> str:
+    return f"""
+        SELECT round((sum(CASE WHEN y = 1 THEN r ELSE 0 END) - sum(y) * (sum(y) + 1) / 2.0)
+                     / (CAST(sum(y) AS DOUBLE) * sum(1 - y)), 8)
+        FROM (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r
+              FROM (SELECT y, {column} AS s FROM test))"""
+
+
+def rule_sql() -> str:
+    rules = {"rolling mean": "round(roll4_wd, 4)", "two weeks back": "lag2_wd"}
+    rows = [
+        f"""SELECT '{name}' AS model, accuracy, "precision", recall, f1, ({auc_of(col)}) AS auc,
+                   {i} AS pos FROM ({measures_of(col)})"""
+        for i, (name, col) in enumerate(rules.items())
+    ]
+    return f"""
+        SELECT model, round(accuracy, 8) AS accuracy, round("precision", 8) AS "precision",
+               round(recall, 8) AS recall, round(f1, 8) AS f1, auc,
+               round((accuracy - b_accuracy) * 100, 8) AS accuracy_lift, round((f1 - b_f1) * 100, 8) AS f1_lift,
+               CASE WHEN row_number() OVER (ORDER BY auc DESC, pos) = 1 THEN 1 ELSE 0 END AS is_best
+        FROM ({" UNION ALL ".join(rows)}), (SELECT accuracy AS b_accuracy, f1 AS b_f1 FROM raw)
+        UNION ALL
+        SELECT 'persistence', round(accuracy, 8), NULL, NULL, round(f1, 8), NULL, NULL, NULL, 0 FROM raw"""
+
+
 WEEKLY_SELECT = "SELECT * FROM weekly"
 FEATURES = [
     "entity_id", "segment", "week_start", "wd", "tx", "failed", "payday_days", "festival_days", "wd_weekend",
@@ -265,6 +316,11 @@ def oracle_sql() -> dict[str, str]:
             "rec",
         ),
         "weekly_features": sql(f"SELECT {shown(FEATURES)} FROM feat", "feat"),
+        "weekly_features_recent": sql(
+            f"SELECT {shown(FEATURES)} FROM feat WHERE week_start >= DATE '{CUT}'", "feat"
+        ),
+        "user_weekly_features": sql(f"SELECT {shown(FEATURES)} FROM feat", "feat", **USER_PANEL),
+        "rule_comparison": sql(rule_sql(), "raw"),
         "train_threshold": sql(
             f"SELECT count(*) AS n_train, min(t) AS threshold FROM feat, thr WHERE week_start < DATE '{CUT}'", "thr"
         ),
@@ -390,6 +446,7 @@ def oracle_sql() -> dict[str, str]:
         "table_roundtrip": sql(
             f"SELECT entity_id, day, segment, value, n_ok, n_failed FROM {RECORDS_IN_REGION}", "daily", "ent"
         ),
+        "tier_sink_roundtrip": sql(f"SELECT entity_id, segment, demand_tier, {shown(PROFILE)} FROM tiered", "tiered"),
         "metrics_roundtrip": sql(
             """SELECT 'Persistence' AS model, accuracy, "precision", recall, f1, TN, FP, FN, TP,
                       printf('%.1f%%', accuracy * 100) AS accuracy_text, format('{:,}', TN + TP) AS n_text FROM meas""",

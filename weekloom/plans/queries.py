@@ -1,7 +1,7 @@
 """Registered queries over the star-schema tables, one per operator or operator group.
 
-Panel: supplier x day from line items (see ``sources.star_schema``). Money is rounded
-to 4 digits and ratios to 8 for display, after all computation.
+Panel: supplier x day from line items (see ``sources.star_schema``). Rounding is for
+display only, after all computation.
 """
 
 from __future__ import annotations
@@ -25,10 +25,11 @@ SCALED = [f"{c}_scaled" for c in LOGGED]
 TICKET = 3200.0
 DEARER = {"ASIA": 1.25}
 
+# columns whose last bits depend on the order of additions or on the math library
 DIGITS = {
-    **dict.fromkeys(["roll4_wd", "roll4_std", "avg_daily_wd", "p90_daily_wd", "avg_daily_tx", "avg_txn_amount"], 4),
+    **dict.fromkeys(["roll4_wd", "roll4_std"], 4),
     **dict.fromkeys(["woy_sin", "woy_cos"], 8),
-    **dict.fromkeys(["cv_wd", "weekend_ratio", "payday_uplift", "peak_to_mean", "fail_rate"], 6),
+    **dict.fromkeys(["cv_wd", "weekend_ratio", "payday_uplift"], 6),
 }
 
 
@@ -207,6 +208,23 @@ def weekly_features(spark, sf):
     return shown(feature_table(spark, sf))
 
 
+def weekly_features_recent(spark, sf):
+    """Features of the weeks from the cut on, reading no older days than they need."""
+    table = features.recent_features(
+        star.supplier_records(spark, sf), star.suppliers(spark, sf), days(spark), CUT, START, END, ROLES
+    )
+    return shown(table)
+
+
+def user_weekly_features(spark, sf):
+    """The feature table of the user panel: one month of events."""
+    first, last = star.USER_START, star.USER_END
+    records = star.user_records(spark, sf)
+    calendar = cal.calendar(spark, first, last, (), ROLES)
+    users = panel.entities_of(records, "user", ROLES)
+    return shown(features.weekly_features(rollup.weekly_from_records(records, users, calendar, first, last, ROLES), ROLES))
+
+
 # ---- labels and measures --------------------------------------------------------------
 
 
@@ -248,6 +266,28 @@ def threshold_sweep(spark, sf):
     return rounded_all(out, ["threshold"], 6)
 
 
+def rule_comparison(spark, sf):
+    """Two threshold rules next to persistence: measures, AUC, lift in points, best rule."""
+    rules = {"rolling mean": "roll4_wd", "two weeks back": "lag2_wd"}
+    table, threshold = labelled(spark, sf, "lag2_wd", "roll4_wd")
+    _, test = labels.time_split(table, CUT, ROLES)
+    test = test.withColumn("roll4_wd", F.round("roll4_wd", 4))
+
+    def measured(name: str, column: str) -> DataFrame:
+        rows = metrics.class_metrics(metrics.confusion(labels.persistence(test, threshold, column)))
+        return rows.select(F.lit(name).alias("model"), "accuracy", "precision", "recall", "f1")
+
+    auc = lambda column: metrics.roc_auc(test, column).select("auc").scalar()
+    scores = panel.union_panels([measured(n, c).withColumn("auc", auc(c)) for n, c in rules.items()])
+    scores = spark.createDataFrame(scores.collect(), scores.schema)  # one row per rule
+    baseline = measured("persistence", "lag1_wd").select("model", "accuracy", "f1")
+    best = classify.best_model(scores, list(rules)).first()["model"]
+    lift = report.lift_over_baseline(scores, baseline)
+    rows = report.append_baseline(scores, baseline).join(F.broadcast(lift), "model", "left")
+    out = rows.withColumn("is_best", (F.col("model") == best).cast("int"))
+    return rounded_all(out, ["accuracy", "precision", "recall", "f1", "auc", "accuracy_lift", "f1_lift"], 8)
+
+
 # ---- encoding -------------------------------------------------------------------------
 
 
@@ -465,6 +505,14 @@ def table_roundtrip(spark, sf):
     return tables.read_panel(spark, path, out.schema, "csv", ROLES)
 
 
+def tier_sink_roundtrip(spark, sf):
+    """Tier assignments to CSV, one folder per tier, and back."""
+    rows = cluster.assignments(_tiered(spark, sf), ROLES)
+    path = new_folder(spark, "tiers-csv")
+    tables.write_table(rows, path, "csv", partition_by=["demand_tier"])
+    return shown(tables.read_table(spark, path, rows.schema).select(*rows.columns))
+
+
 def metrics_roundtrip(spark, sf):
     """Persistence measures to nested JSON and back, with report formatting."""
     measured = metrics.class_metrics(metrics.confusion(test_persistence(spark, sf)))
@@ -501,12 +549,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weekly_lag_ratios": _feature_query(features.LAG_RATIOS),
     "season_encoding": season_encoding,
     "weekly_features": weekly_features,
+    "weekly_features_recent": weekly_features_recent,
+    "user_weekly_features": user_weekly_features,
     "train_threshold": train_threshold,
     "labelled_split_stats": labelled_split_stats,
     "persistence_confusion": persistence_confusion,
     "persistence_metrics": persistence_metrics,
     "score_auc": score_auc,
     "threshold_sweep": threshold_sweep,
+    "rule_comparison": rule_comparison,
     "segment_index": segment_index,
     "segment_one_hot": segment_one_hot,
     "unit_std_features": unit_std_features,
@@ -536,5 +587,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_comparison": model_comparison,
     "feature_importance": feature_importance,
     "table_roundtrip": table_roundtrip,
+    "tier_sink_roundtrip": tier_sink_roundtrip,
     "metrics_roundtrip": metrics_roundtrip,
 }

@@ -13,6 +13,7 @@ ROLES = Roles(scale=2)
 
 START, END = dt.date(1995, 1, 2), dt.date(2001, 11, 4)
 CUT = dt.date(2000, 6, 30)
+USER_START, USER_END = dt.date(2024, 1, 1), dt.date(2024, 1, 30)
 EVENTS = tuple(
     dt.date(year, month, day)
     for year in range(START.year, END.year + 1)
