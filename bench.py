@@ -28,6 +28,8 @@ HEADLINE = [
     "persistence_metrics",
     "score_auc",
     "threshold_sweep",
+    "rule_comparison",
+    "weekly_features_recent",
     "segment_one_hot",
     "unit_std_features",
     "tier_summary",
@@ -54,6 +56,8 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        # shuffles are a few MB here, but each row opens into many: keep every core busy
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -15,6 +15,8 @@ def con():
 def test_query_matches_sql(spark, con, name):
     df = E.queries()[name](spark, SF)
     sql = E.oracle_sql()[name]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert type_differences(df, con, sql) == ""
     assert differences(df.toPandas(), con.execute(sql).df()) == ""
 

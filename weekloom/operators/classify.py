@@ -80,15 +80,15 @@ def compare_models(
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Fit every model on ``train``, score on ``test``: (metrics table, fitted models).
 
-    The encoding is fitted once and shared. Encoded rows are kept in memory and on
-    disk while the models iterate over them; a lost block is rebuilt from its input.
+    ``train`` and ``test`` are read several times, so pass staged tables. The encoding is
+    fitted once and shared. Encoded rows are kept in memory and on disk while the models
+    iterate over them; a lost block is rebuilt from its input.
     """
     spark = train.sparkSession
     models = default_models() if models is None else models
     keys = [roles.entity, roles.week]
-    laid_out = pinned(train, keys).persist()
-    encoder = Pipeline(stages=encoding_stages(roles)).fit(laid_out)
-    fit_rows = encoder.transform(laid_out).select("label", "raw").persist()
+    encoder = Pipeline(stages=encoding_stages(roles)).fit(train)
+    fit_rows = pinned(encoder.transform(train), keys).select("label", "raw").persist()
     test_rows = encoder.transform(test).select("label", "raw").persist()
     records, fitted = [], {}
     for name, entry in models.items():
@@ -99,8 +99,8 @@ def compare_models(
         model = Pipeline(stages=stages).fit(fit_rows)
         records.append(score_model(name, model.transform(test_rows)))
         fitted[name] = PipelineModel([*encoder.stages, *model.stages])
-    for df in (laid_out, fit_rows, test_rows):
-        df.unpersist()
+    fit_rows.unpersist()
+    test_rows.unpersist()
     return spark.createDataFrame(records, MODEL_METRICS), fitted
 
 

@@ -436,11 +436,19 @@ def _cluster_frame(spark, sf, log: bool = True) -> DataFrame:
 
 
 def kmeans_sweep(spark, sf):
-    return cluster.kmeans_sweep(_cluster_frame(spark, sf))
+    """Within-cluster SSE and silhouette for k = 2 .. 7."""
+    frame = _cluster_frame(spark, sf)
+    out = cluster.kmeans_sweep(frame)
+    frame.unpersist()
+    return out
 
 
 def cluster_compare(spark, sf):
-    return cluster.compare_algorithms(_cluster_frame(spark, sf), bisecting=True)
+    """Silhouette of three algorithms at k = 3."""
+    frame = _cluster_frame(spark, sf)
+    out = cluster.compare_algorithms(frame, bisecting=True)
+    frame.unpersist()
+    return out
 
 
 def demand_tiers(spark, sf):
@@ -454,6 +462,7 @@ def demand_tiers_unlogged(spark, sf):
 
 
 def pca_projection(spark, sf):
+    """Two principal components of every profile with its fitted tier."""
     frame = _cluster_frame(spark, sf)
     rows, explained = cluster.pca_projection(cluster.demand_tiers(frame))
     ratios = {f"explained{i + 1}": F.lit(v) for i, v in enumerate(explained)}
