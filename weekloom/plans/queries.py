@@ -279,12 +279,14 @@ def rule_comparison(spark, sf):
 
     auc = lambda column: metrics.roc_auc(test, column).select("auc").scalar()
     scores = panel.union_panels([measured(n, c).withColumn("auc", auc(c)) for n, c in rules.items()])
-    scores = spark.createDataFrame(scores.collect(), scores.schema)  # one row per rule
     baseline = measured("persistence", "lag1_wd").select("model", "accuracy", "f1")
+    # one row per rule: fetched once, then only small tables are left
+    table = report.append_baseline(scores, baseline)
+    table = spark.createDataFrame(table.collect(), table.schema)
+    scores, baseline = table.where(F.col("model") != "persistence"), table.where(F.col("model") == "persistence")
     best = classify.best_model(scores, list(rules)).first()["model"]
     lift = report.lift_over_baseline(scores, baseline)
-    rows = report.append_baseline(scores, baseline).join(F.broadcast(lift), "model", "left")
-    out = rows.withColumn("is_best", (F.col("model") == best).cast("int"))
+    out = table.join(F.broadcast(lift), "model", "left").withColumn("is_best", (F.col("model") == best).cast("int"))
     return rounded_all(out, ["accuracy", "precision", "recall", "f1", "auc", "accuracy_lift", "f1_lift"], 8)
 
 
