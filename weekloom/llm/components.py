@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.staging import stage
 
 
+#: All remaining pairs are verified at once if there are at most this many.
+PAIRS_PER_ROW, FEW_PAIRS = 30, 1_000_000
+
+
 def _mark(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
     return row[0], row[1]
@@ -41,3 +47,34 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
+
+
+def link_by_keys(members: DataFrame, verify: Callable[[DataFrame], DataFrame], ties: DataFrame) -> DataFrame:
+    """``(node, root)`` of everything linked among rows ``(key, rep)`` that share a key.
+
+    Each key's smallest member is paired with its others and ``verify`` keeps the pairs
+    ``(a, b)`` that hold. Where a key then still has members of several components, further
+    members lead, until each pair is verified or in one component: as ``verify`` would link all
+    pairs, without listing them. ``ties`` are links known before.
+    """
+    of_key = Window.partitionBy("key")
+    place = F.row_number().over(of_key.orderBy("rep")).alias("place")
+    members = stage(members.select("key", "rep", place, F.lit(None).cast("long").alias("root")), "members")
+    links, left, first, last = ties, members, 1, 1
+    while True:
+        lead = left.where(F.col("place").between(first, last)).select(
+            "key", F.col("rep").alias("a"), F.col("place").alias("at"), F.col("root").alias("root_a"))
+        pairs = lead.join(left, "key").where("at < place and (root_a is null or root_a != root)")
+        pairs = pairs.select("a", F.col("rep").alias("b")).distinct()
+        links = stage(links.unionByName(verify(pairs)).distinct(), "links")
+        joined = components(links, "a", "b")
+        rooted = members.drop("root").join(joined, F.col("rep") == F.col("node"), "left").select(
+            "key", "rep", "place", F.coalesce("root", "rep").alias("root"))
+        spread = rooted.select("*", F.min("root").over(of_key).alias("r0"), F.max("root").over(of_key).alias("r1"),
+                               F.max("place").over(of_key).alias("most"))
+        left = stage(spread.where(f"r0 != r1 and most > {last + 1}").select("key", "rep", "place", "root"), "rest")
+        todo = left.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("place") - 1).cast("double").alias("pairs")).first()
+        if not todo["n"]:
+            return joined
+        at_once = todo["pairs"] <= PAIRS_PER_ROW * todo["n"] + FEW_PAIRS
+        first, last = last + 1, (1 << 30) if at_once else 4 * last + 1

@@ -12,8 +12,8 @@ is in the same band or the next, and a document is keyed for both.
 Exact copies of a set share a fingerprint and are one class; a task emits the keys of a class
 once. Within a key the smallest id is paired with the others (no pairs among all), a folded
 1024-bit sketch bounds the difference from below, and what is left is verified on the sets.
-Where a key still holds several components, further members become leaders, twice as many each
-round, until each pair of members is verified or in one component: no link is lost.
+Where a key still holds several components, further members become leaders, round by round, until
+each pair of members is verified or in one component: no link is lost.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.llm import scan
-from weekloom.llm.components import components
+from weekloom.llm.components import link_by_keys
 from weekloom.staging import stage
 
 U = np.uint64
@@ -202,7 +202,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int,
     )
     shared = both.select("a", "b", F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long").alias("i"),
                          (F.size("tokens_a") + F.size("tokens_b")).cast("long").alias("s"))
-    return stage(shared.where(f"100 * i >= {percent} * (s - i)").select("a", "b").distinct(), "links")
+    return shared.where(f"100 * i >= {percent} * (s - i)").select("a", "b")
 
 
 def link_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,31 +236,12 @@ def link_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str
         "keys",
     )
     rep_of = member.groupBy("doc_id").agg(F.min("rep").alias("rep"))
-    multi = stage(multi.join(rep_of, "doc_id").select("key", "rep").distinct()
-                  .withColumn("place", F.row_number().over(of_key.orderBy("rep"))), "members")
-
-    links = stage(tied.select("a", "b").distinct(), "ties")
-    first, last = 1, 1
-    left = multi
-    while True:
-        lead = left.where(F.col("place").between(first, last))
-        lead = lead.select("key", F.col("rep").alias("a"), F.col("place").alias("at"),
-                           *([F.col("root").alias("root_a")] if "root" in left.columns else []))
-        pairs = lead.join(left, "key").where("at < place")
-        if "root" in left.columns:
-            pairs = pairs.where("root_a != root")
-        pairs = pairs.select("a", F.col("rep").alias("b")).where("a != b").distinct()
-        links = stage(links.unionByName(_verified(pairs, reps, link_texts, percent, k)).distinct(), "links")
-        joined = components(links, "a", "b")
-        rooted = multi.join(joined, multi["rep"] == joined["node"], "left").select(
-            "key", "rep", "place", F.coalesce("root", "rep").alias("root"))
-        # keys whose members are in several components, with places that have not led yet
-        first, last = last + 1, last + 2 * (last - first + 1)
-        low_high = rooted.select("*", F.min("root").over(of_key).alias("r0"), F.max("root").over(of_key).alias("r1"),
-                                 F.max("place").over(of_key).alias("most"))
-        left = stage(low_high.where(f"r0 != r1 and most > {first}").select("key", "rep", "place", "root"), "rest")
-        if left.isEmpty():
-            break
+    multi = multi.join(rep_of, "doc_id").select("key", "rep").distinct()
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        return _verified(pairs, reps, link_texts, percent, k)
+
+    joined = link_by_keys(multi, verify, tied.select("a", "b"))
     roots = joined.select(F.col("node").alias("rep"), "root")
     labels = rep_of.join(roots, "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("component"))
     return profile.select("doc_id", F.col("n").alias("n_shingles")).join(labels, "doc_id", "left").select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekloom.llm import decontaminate, jaccard, mixing, quality, sharding
+from weekloom.llm import decontaminate, jaccard, lines, mixing, quality, secrets, sharding, surrogates, topk, wrapper
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,11 +17,36 @@ def op1_mixture_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "tokens", "p", "rate", "copies")
 
 
+def op2_wrapper_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return wrapper.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates in place of personal data."""
+    return surrogates.pseudonymise(table(spark, sf_dir, "documents"))
+
+
+def op4_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best vectors for each query vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op5_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
 def op6_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document."""
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
+def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that an earlier line makes superfluous."""
+    return lines.removed_lines(table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a test item, with the item and the overlaps."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -37,6 +62,11 @@ def op10_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixture_rates, op6_extendible_shards, op8_benchmark_leaks,
-                                   op9_quality_scores, op10_jaccard_components)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mixture_rates, op2_wrapper_extract, op3_pii_surrogates, op4_histogram_topk, op5_guess_cost_secrets,
+        op6_extendible_shards, op7_fuzzy_lines, op8_benchmark_leaks, op9_quality_scores, op10_jaccard_components,
+    )
+}
 ORACLE_SQL = {"op6_extendible_shards": sharding.SQL.format(documents="documents", limit=sharding.LIMIT_BYTES)}
