@@ -303,20 +303,20 @@ def test_guess_cost_is_the_cheapest_cut():
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <nav><ul><li><a href="/">Home %d</a><li>More</ul></nav><div class="cookie-notice">We use cookies</div><header><h2>Site</h2></header>
-<aside>Side %d</aside><article><h1>Title %s</h1><p>Share this page<p><b>First</b>ly &amp; &eacute;&nbsp;x<br>new   line %d</p>
+<aside>Side %d</aside><article><h1>Title %s</h1><p>Share this page<p><b>First</b>ly %d &amp; &eacute;&nbsp;x<br>new   line %d</p>
 <div class="ad">Buy</div><p>%s</p><form><input><label>Mail</label></form><section id="comments"><p>Nice one</p></section></article>
 <footer>&copy; us</footer>"""
 
 
 def test_wrapper_extracts_the_article(spark):
-    rows = [(i, f"https://a.example.com/{i}", PAGE % (i, i, i, i, prose(i, 12))) for i in range(8)]
-    rows += [(100, None, "<p>lone <i>te</i>xt"), (101, "https://b.example.com/", None), (102, "https://b.example.com/", ""), (None, "nohost", PAGE % (1, 1, 1, 1, "z")),
+    rows = [(i, f"https://a.example.com/{i}", PAGE % (i, i, i, i, i, prose(i, 12))) for i in range(8)]
+    rows += [(100, None, "<p>lone <i>te</i>xt"), (101, "https://b.example.com/", None), (102, "https://b.example.com/", ""), (None, "nohost", PAGE % (1, 1, 1, 1, 1, "z")),
              (103, "https://c.example.com/", "<div>" * 3000 + "deep" + "</div>" * 3000)]
     df = spark.createDataFrame([(*r, "x", 2) for r in rows], "page_id long, url string, html string, host string, n_chars int")
     got = {r.page_id: r for r in wrapper.extract(df).collect()}
-    assert got[3].text == f"Title 3 Firstly & é x new line 3 {prose(3, 12)}"  # the line on sharing is template
+    assert got[3].text == f"Title 3 Firstly 3 & é x new line 3 {prose(3, 12)}"  # the line on sharing is template
     assert got[100].text == "lone text" and got[101].text == got[102].text == "" and got[103].text == "deep"
-    assert got[None].text == "Title 1 Share this page Firstly & é x new line 1 z"
+    assert got[None].text == "Title 1 Share this page Firstly 1 & é x new line 1 z"
     assert all(r.n_chars == len(r.text) for r in got.values()) and len(got) == len(rows)
     assert wrapper.extract(df.where("false")).count() == 0
 
