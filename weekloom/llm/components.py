@@ -12,6 +12,7 @@ from weekloom.staging import stage
 
 #: All remaining pairs are verified at once if there are at most this many.
 PAIRS_PER_ROW, FEW_PAIRS = 30, 1_000_000
+EDGES_PER_FILE = 200_000
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -34,12 +35,14 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         far = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        far = far.where("u != v").distinct()
+        far = far.where("u != v")
         low = far.groupBy("u").agg(F.min("v").alias("m"))
         near = far.join(low, "u")
         near = near.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                              F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
-        e = stage(near.select("x.u", "x.v").where("u != v").distinct(), "edges")
+        # few edges stay in few files
+        files = 1 + mark[0] // EDGES_PER_FILE
+        e = stage(near.select("x.u", "x.v").where("u != v").distinct().coalesce(files), "edges")
         now = _mark(e)
         if now == mark:
             break
