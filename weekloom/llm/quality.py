@@ -129,8 +129,12 @@ def _step(net: Net, data: np.ndarray, at: np.ndarray, y: np.ndarray) -> list[np.
     return [dembed, dfilters, dm.sum(0), m.T @ dpre, dpre.sum(0), pooled.T @ dz, np.array([dz.sum()])]
 
 
-def fit(texts: list[bytes], y: np.ndarray, seed: int = 7, epochs: int = 14, rows: int = 48, rate: float = 0.004) -> Net:
-    """Adam over small batches of rows; the order depends on the seed alone."""
+def fit(texts: list[bytes], y: np.ndarray, seed: int = 7, epochs: int = 14, rows: int = 48, rate: float = 0.004, steps: int = 600) -> Net:
+    """Adam over small batches of rows, ``epochs`` times or for ``steps`` batches, whichever is more.
+
+    The order depends on the seed alone.
+    """
+    epochs = max(epochs, -(-steps * rows // max(len(texts), 1)))
     net, r = Net.new(seed), np.random.default_rng(seed + 1)
     m1 = [np.zeros_like(w) for w in net.parts()]
     m2 = [np.zeros_like(w) for w in net.parts()]
