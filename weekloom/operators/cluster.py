@@ -95,7 +95,10 @@ def assign_tiers(assigned: DataFrame, tiers: DataFrame, cluster: str = "predicti
 
 
 def demand_tiers(frame: DataFrame, k: int = 3, names: Iterable[str] = K.TIERS) -> DataFrame:
-    """Fit K-Means and name its clusters by ascending mean demand."""
+    """Fit K-Means and name its clusters by ascending mean demand, one name for each cluster."""
+    names = list(names)
+    if len(names) != k:
+        raise ValueError(f"{k} clusters need {k} names, not {len(names)}")
     assigned = kmeans(k).fit(frame).transform(frame)
     return assign_tiers(assigned, tier_names(assigned, names))
 

@@ -49,7 +49,7 @@ def class_metrics(conf: DataFrame) -> DataFrame:
         (low_share * f1(low_p, low_r) + high_share * f1(high_p, high_r)).alias("f1"),
         high_p.alias("high_precision"),
         high_r.alias("high_recall"),
-        (1 - high_r).alias("high_miss_rate"),
+        (1 - safe_ratio(tp, tp + fn)).alias("high_miss_rate"),
     )
 
 

@@ -17,7 +17,8 @@ def data_quality(daily: DataFrame, roles: Roles = Roles()) -> DataFrame:
     sums. So duplicates and distinct entities are exact without a distinct
     aggregate, and a busy entity is spread over its days.
     """
-    missing = sum((F.col(c).isNull().cast("int") for c in daily.columns), F.lit(0))
+    gone = {c: F.col(c).isNull() | F.isnan(c) if t in ("float", "double") else F.col(c).isNull() for c, t in daily.dtypes}
+    missing = sum((is_gone.cast("int") for is_gone in gone.values()), F.lit(0))
     flags = [c for c in (roles.weekend, roles.payday, roles.event) if c in daily.columns]
     by_key = daily.groupBy(roles.entity, roles.day).agg(
         F.count(F.lit(1)).alias("n"),

@@ -33,15 +33,33 @@ def sweep_document(sweep: DataFrame) -> DataFrame:
     return sweep.agg(F.map_from_entries(pairs).alias("k_selection"))
 
 
+def _members(spark: SparkSession, path: str) -> DataFrame:
+    """``(name, body)``: the members of the one document at ``path``, each body still JSON."""
+    document = spark.read.text(path, wholetext=True).where("trim(value) != ''")
+    return document.select(F.explode(F.from_json("value", "map<string,string>")).alias("name", "body"))
+
+
 def read_models(spark: SparkSession, path: str) -> DataFrame:
-    """One row per model of a models document, confusion counts as columns."""
-    schema = T.StructType([T.StructField("models", T.MapType(T.StringType(), ENTRY))])
-    return (
-        spark.read.schema(schema)
-        .json(path, multiLine=True)
-        .select(F.explode("models").alias("model", "m"))
-        .select("model", "m.accuracy", "m.precision", "m.recall", "m.f1", "m.auc", "m.confusion.*")
+    """One row per model of a models document, confusion counts as columns.
+
+    Models stand under ``models`` or at the top, beside ``_meta``. A document without any raises.
+    """
+    top = _members(spark, path)
+    inner = top.where("name = 'models'").select(
+        F.explode(F.from_json("body", "map<string,string>")).alias("name", "body")
     )
+    rows = top.where("name != 'models' and not startswith(name, '_')").unionByName(inner)
+    rows = rows.select(F.col("name").alias("model"), F.from_json("body", ENTRY).alias("m"))
+    rows = rows.where("m.accuracy is not null")
+    if rows.isEmpty():
+        raise ValueError(f"no model in {path}")
+    return rows.select("model", "m.accuracy", "m.precision", "m.recall", "m.f1", "m.auc", "m.confusion.*")
+
+
+def read_meta(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The ``_meta`` member of a document as one row of ``schema``; no row if there is none."""
+    meta = _members(spark, path).where("name = '_meta'")
+    return meta.select(F.from_json("body", schema).alias("m")).select("m.*")
 
 
 def read_sweep(spark: SparkSession, path: str) -> DataFrame:
