@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,9 +16,12 @@ PAIRS_PER_ROW, FEW_PAIRS = 30, 1_000_000
 EDGES_PER_FILE = 200_000
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-    return row[0], row[1]
+def _state(edges: DataFrame) -> tuple[int, bool]:
+    """How many edges there are, and whether each node hangs on one that hangs on none."""
+    ends = F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))
+    per = edges.select(F.inline(ends)).groupBy("x").agg(F.sum("up").alias("ups"), F.count(F.lit(1)).alias("n"))
+    row = per.agg(F.sum("ups"), F.expr("count_if(ups > 0 and n > 1)")).first()
+    return row[0] or 0, row[1] == 0
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -30,8 +34,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """
     e = stage(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
               .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
-    mark = _mark(e)
-    while mark[0]:
+    n, settled = _state(e)
+    while not settled:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         far = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -41,12 +45,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         near = near.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                              F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
         # few edges stay in few files
-        files = 1 + mark[0] // EDGES_PER_FILE
+        files = 1 + n // EDGES_PER_FILE
         e = stage(near.select("x.u", "x.v").where("u != v").distinct().coalesce(files), "edges")
-        now = _mark(e)
-        if now == mark:
-            break
-        mark = now
+        n, settled = _state(e)
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
@@ -56,28 +57,34 @@ def link_by_keys(members: DataFrame, verify: Callable[[DataFrame], DataFrame], t
     """``(node, root)`` of everything linked among rows ``(key, rep)`` that share a key.
 
     Each key's smallest member is paired with its others and ``verify`` keeps the pairs
-    ``(a, b)`` that hold. Where a key then still has members of several components, further
-    members lead, until each pair is verified or in one component: as ``verify`` would link all
-    pairs, without listing them. ``ties`` are links known before.
+    ``(a, b)`` that hold, with their other columns. Where a key then still has members of
+    several components, further members lead, until each pair is verified or in one component:
+    as ``verify`` would link all pairs, without listing them. A pair carries the roots of its
+    ends, so later rounds join components and do not go back to the links. ``ties`` are links
+    known before.
     """
     of_key = Window.partitionBy("key")
     place = F.row_number().over(of_key.orderBy("rep")).alias("place")
-    members = stage(members.select("key", "rep", place, F.lit(None).cast("long").alias("root")), "members")
-    links, left, first, last = ties, members, 1, 1
+    left = stage(members.select("key", "rep", place, F.col("rep").alias("root")), "members")
+    known, maps, first, last = ties.select(F.col("a").alias("root_a"), F.col("b").alias("root_b")), [], 1, 1
     while True:
         lead = left.where(F.col("place").between(first, last)).select(
             "key", F.col("rep").alias("a"), F.col("place").alias("at"), F.col("root").alias("root_a"))
-        pairs = lead.join(left, "key").where("at < place and (root_a is null or root_a != root)")
-        pairs = pairs.select("a", F.col("rep").alias("b")).distinct()
-        links = stage(links.unionByName(verify(pairs)).distinct(), "links")
-        joined = components(links, "a", "b")
-        rooted = members.drop("root").join(joined, F.col("rep") == F.col("node"), "left").select(
-            "key", "rep", "place", F.coalesce("root", "rep").alias("root"))
+        pairs = lead.join(left, "key").where("at < place and root_a != root")
+        pairs = pairs.select("a", F.col("rep").alias("b"), "root_a", F.col("root").alias("root_b")).distinct()
+        found = verify(pairs).select("root_a", "root_b")
+        maps.append(components(found if maps else found.unionByName(known), "root_a", "root_b"))
+        now = maps[-1].select("node", F.col("root").alias("now"))
+        rooted = left.join(now, F.col("root") == F.col("node"), "left").select(
+            "key", "rep", "place", F.coalesce("now", "root").alias("root"))
         spread = rooted.select("*", F.min("root").over(of_key).alias("r0"), F.max("root").over(of_key).alias("r1"),
                                F.max("place").over(of_key).alias("most"))
         left = stage(spread.where(f"r0 != r1 and most > {last + 1}").select("key", "rep", "place", "root"), "rest")
         todo = left.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("place") - 1).cast("double").alias("pairs")).first()
         if not todo["n"]:
-            return joined
+            break
         at_once = todo["pairs"] <= PAIRS_PER_ROW * todo["n"] + FEW_PAIRS
         first, last = last + 1, (1 << 30) if at_once else 4 * last + 1
+    if len(maps) == 1:
+        return maps[0]
+    return components(reduce(DataFrame.unionByName, maps), "node", "root")

@@ -190,7 +190,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int,
             "aggregate(zip_with(sketch_a, sketch_b, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
             f" * {100 + percent} <= (n_a + n_b) * {100 - percent}"
         )
-        .select("a", "b")
+        .select(*pairs.columns)
     )
     pairs = stage(bounded, "pairs")
     ends = stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends")
@@ -200,9 +200,9 @@ def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int,
     both = pairs.join(_side(tokens, "a"), F.col("a") == F.col("doc_id_a")).join(
         _side(tokens, "b"), F.col("b") == F.col("doc_id_b")
     )
-    shared = both.select("a", "b", F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long").alias("i"),
+    shared = both.select(*pairs.columns, F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long").alias("i"),
                          (F.size("tokens_a") + F.size("tokens_b")).cast("long").alias("s"))
-    return shared.where(f"100 * i >= {percent} * (s - i)").select("a", "b")
+    return shared.where(f"100 * i >= {percent} * (s - i)").select(*pairs.columns)
 
 
 def link_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
