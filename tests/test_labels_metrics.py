@@ -88,14 +88,17 @@ def test_exact_threshold_equals_sorting(spark, q):
     # a third of the rows share one value
     values = [50.0 if rng.random() < 1 / 3 else round(rng.random() * 100, 3) for _ in range(5000)]
     df = spark.createDataFrame([(v,) for v in values], "wd double")
-    assert L.exact_threshold(df, q=q, cells=20, sort_below=100) == brute(values, q)
+    assert L.exact_threshold(df, q=q, cells=20) == brute(values, q)
     assert L.exact_threshold(df, q=q) == brute(values, q)
 
 
 def test_exact_threshold_of_one_value_and_none(spark):
     df = spark.createDataFrame([(1.5,)] * 300, "wd double")
-    assert L.exact_threshold(df, cells=5, sort_below=10) == 1.5
+    assert L.exact_threshold(df, cells=5) == 1.5
     assert L.exact_threshold(df.where("wd > 9")) is None
+    ends = df.sparkSession.sql("select * from values (double('-inf')), (double('inf')), (double('inf')), (null) as t(wd)")
+    assert L.exact_threshold(ends) == float("inf")
+    assert L.exact_threshold(ends, q=0.1) == float("-inf")
 
 
 def test_sketch_threshold_is_close(spark):

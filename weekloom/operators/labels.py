@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from math import isfinite
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weekloom import constants as K
 from weekloom.operators.calendar import Date, to_date
 from weekloom.roles import Roles
+from weekloom.staging import stage
 
 
 def is_train(cut: Date, roles: Roles = Roles()) -> Column:
@@ -28,34 +31,34 @@ def sketch_threshold(
     return train.approxQuantile(column, [q], error)[0]
 
 
-def exact_threshold(
-    train: DataFrame, column: str = "wd", q: float = 0.5, cells: int = 256, sort_below: int = 200_000
-) -> float | None:
+def exact_threshold(train: DataFrame, column: str = "wd", q: float = 0.5, cells: int = 256) -> float | None:
     """The smallest value with at least a share ``q`` of the rows at or below it.
 
-    Each pass splits the remaining value range into ``cells`` by a sketch, counts the
-    rows in every cell, and keeps the cell that holds the wanted rank. Rows equal to
-    a split point are counted apart, so a value held by many rows is an answer, never
-    a cell that cannot shrink. What is left is sorted once it is below ``sort_below``
-    rows. No pass shuffles rows, and the driver sees only split points and counts.
+    The rows are counted per distinct value, once; the counts are staged. Each pass splits
+    the remaining values into ``cells`` by a sketch, adds up the counts of every cell, and
+    keeps the cell that holds the wanted rank. Values equal to a split point are counted
+    apart and leave the range, so every pass answers or shrinks it. The driver sees only
+    split points and counts, whatever the size. Nulls and NaN are ignored.
     """
-    left = train.select(F.col(column).cast("double").alias("v")).dropna()
-    total = left.count()
-    if total == 0:
+    values = train.select(F.col(column).cast("double").alias("v")).dropna()
+    left = stage(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "values")
+    total = left.agg(F.sum("n")).first()[0]
+    if not total:
         return None
     rank = max(1, -int(-q * total // 1))  # 1-based
-    rows = total
-    while rows > sort_below:
-        probs = [i / cells for i in range(1, cells)]
-        splits = sorted(set(left.approxQuantile("v", probs, 0.5 / cells)))
+    probs = [i / cells for i in range(1, cells)]
+    while True:
+        splits = [x for x in sorted(set(left.approxQuantile("v", probs, 0.5 / cells))) if isfinite(x)]
+        if not splits:  # infinities only
+            ends = left.orderBy("v").limit(2).collect()
+            return ends[0]["v"] if rank <= ends[0]["n"] else ends[1]["v"]
         ranged = Bucketizer(
             splits=[float("-inf"), *splits, float("inf")], inputCol="v", outputCol="b"
         ).transform(left)
         # cell b starts at split b: even = rows equal to it, odd = rows between it and the next
-        listed = F.split(F.lit(",".join(map(repr, splits))), ",").cast("array<double>")
-        at_split = F.when(F.col("b") > 0, F.element_at(listed, F.col("b").cast("int")))
+        at_split = F.when(F.col("b") > 0, F.element_at(F.lit(splits), F.col("b").cast("int")))
         cell = 2 * F.col("b") + F.when(at_split == F.col("v"), 0).otherwise(1)
-        counts = dict(ranged.groupBy(cell.cast("int").alias("cell")).count().collect())
+        counts = dict(ranged.groupBy(cell.cast("int").alias("cell")).agg(F.sum("n")).collect())
         for c in sorted(counts):
             if rank <= counts[c]:
                 break
@@ -67,8 +70,6 @@ def exact_threshold(
             left = left.where(F.col("v") > splits[b - 1])
         if b < len(splits):
             left = left.where(F.col("v") < splits[b])
-        rows = counts[c]
-    return left.orderBy("v").offset(rank - 1).limit(1).first()[0]
 
 
 def label_high(features: DataFrame, threshold: float, column: str = "wd", name: str = "label") -> DataFrame:
