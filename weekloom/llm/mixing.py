@@ -28,6 +28,8 @@ DOMAINS = ("good", "good_toxic", "poor", "poor_toxic")
 #: Share of the expected tokens wanted from each.
 TARGET = {"good": 0.94, "good_toxic": 0.02, "poor": 0.035, "poor_toxic": 0.005}
 FEATURE_BITS = 18
+#: Added to the curvature of a step of the rates.
+DAMPING = 1e-5
 
 
 @dataclass
@@ -170,25 +172,20 @@ def fit_rates(rows: DataFrame, target: np.ndarray, most: float = 4.0, passes: in
     """``rows`` with a ``rate`` in 0..``most`` whose expected domain totals match the targets.
 
     ``target``: share of the expected tokens wanted from each domain; the total stays that of
-    the input. The residual is measured in the metric of the domains' own spread, the matrix of
-    token-weighted products of posteriors, for which a step of 1 is safe; documents are weighted
-    by their tokens. Passes end once every domain is within ``near`` of its target (as a share
-    of all tokens) or the residual no longer falls. Every ``fold`` passes the rates are written,
-    which keeps the expression short. An empty table comes back empty.
+    the input. The objective is the sum of the squared residuals. A step is scaled by the
+    curvature over the rows whose rate is free to move, the matrix of token-weighted products of
+    posteriors, which the pass sums up beside the residual; a residual that grows raises the
+    damping of that scale. Documents are weighted by their tokens. Passes end once every domain
+    is within ``near`` of its target (as a share of all tokens) or no residual moves by a tenth
+    of that: a target beyond what ``most`` allows does not keep the others from theirs. Every
+    ``fold`` passes the rates are written, which keeps the expression short. An empty table
+    comes back empty.
     """
     k = len(target)
-    spread = rows.agg(F.sum(F.col("tokens").cast("double")).alias("t"), *[
-        F.sum(F.col("tokens") * F.element_at("p", i + 1) * F.element_at("p", j + 1)).alias(f"m{i}_{j}")
-        for i in range(k) for j in range(i, k)]).first()
     rows = rows.withColumn("rate", F.lit(1.0))
-    total = spread["t"] or 0.0
-    if not total:
-        return rows
-    m = np.array([[spread[f"m{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / total
-    inverse = np.linalg.inv(m + 1e-6 * np.eye(k))
     goal = np.asarray(target, float) / np.sum(target)
     history: list[list[float]] = []
-    last = np.inf
+    last, damping = None, DAMPING
     start = F.col("rate")
 
     def rate():
@@ -197,15 +194,24 @@ def fit_rates(rows: DataFrame, target: np.ndarray, most: float = 4.0, passes: in
             r = F.greatest(F.lit(0.0), F.least(F.lit(float(most)), r - _dot(g)))
         return r
 
+    share = [F.col("tokens") * F.element_at("p", j + 1) for j in range(k)]
+    free = (F.col("rate") > 0) & (F.col("rate") < most)
+    curves = [F.sum(F.when(free, share[i] * F.element_at("p", j + 1))).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]
+    totals = [F.sum(share[j] * F.col("rate")).alias(f"s{j}") for j in range(k)]
     for _ in range(passes):
         sums = rows.select("tokens", "p", rate().alias("rate")).agg(
-            *[F.sum(F.col("tokens") * F.col("rate") * F.element_at("p", j + 1)).alias(f"s{j}") for j in range(k)]).first()
+            F.sum(F.col("tokens").cast("double")).alias("t"), *totals, *curves).first()
+        total = sums["t"] or 0.0
+        if not total:
+            break
         e = np.array([sums[f"s{j}"] for j in range(k)]) / total - goal
-        size = float(e @ inverse @ e)
-        if np.abs(e).max() <= near or size >= last * (1 - 1e-6):
+        if np.abs(e).max() <= near or last is not None and np.abs(e - last).max() <= near / 10:
             break
-        last = size
-        history.append((inverse @ e).tolist())
+        if last is not None and e @ e > last @ last:
+            damping *= 10
+        last = e
+        m = np.array([[sums[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)]) / total
+        history.append(np.linalg.solve(m + damping * np.eye(k), e).tolist())
         if len(history) == fold:
             rows = stage(rows.withColumn("rate", rate()), "rates")
             history = []
