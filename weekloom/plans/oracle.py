@@ -246,6 +246,13 @@ LEVEL = f"""
              * CASE WHEN is_event = 1 THEN CAST(1.35 AS DOUBLE) ELSE 1 END
              * (1 + CAST(0.1 AS DOUBLE) * (day - DATE '{START}') / {N_DAYS}) AS expected
     FROM ent JOIN region ON r_name = segment CROSS JOIN cal"""
+# fixed values: the numeric model inputs in vector order, written out apart from the code under test
+MODEL_INPUTS = [
+    "lag1_wd", "lag2_wd", "lag1_tx", "roll4_wd", "roll4_std", "lag1_avg_amt", "lag1_fail_rate", "lag1_weekend_share",
+    "lag1_outage_days", "payday_days", "festival_days", "woy_sin", "woy_cos",
+]
+XYZ = """
+    SELECT entity_id, log_avg_daily_wd_scaled AS x, log_p90_daily_wd_scaled AS y, log_avg_daily_tx_scaled AS z FROM std"""
 RECORDS_IN_REGION = "daily JOIN ent USING (entity_id)"
 MEANS = ", ".join(f"round(avg({c}), 4) AS {c}" for c in PROFILE)
 
@@ -443,6 +450,51 @@ def oracle_sql() -> dict[str, str]:
                       WHEN 'Medium' THEN 'every 2-3 days' ELSE 'daily monitoring' END AS policy FROM tiered""",
             "tiered",
         ),
+        "model_test_counts": sql(
+            f"""SELECT model, count(*) FILTER (y = 0) AS n_low, count(*) FILTER (y = 1) AS n_high, 1 AS auc_in_range
+                FROM lab, (SELECT unnest(['Logistic Regression', 'Random Forest', 'Gradient-Boosted Trees']) AS model)
+                WHERE week_start >= DATE '{CUT}' GROUP BY model""",
+            "lab",
+        ),
+        "importance_names": sql(
+            f"""SELECT feature, n AS n_features, CAST(1 AS DOUBLE) AS total, CAST(n AS INTEGER) AS last_rank,
+                       CAST(1 AS DOUBLE) AS last_share, least(n, 10) AS n_top
+                FROM (SELECT feature, count(*) OVER () AS n FROM (
+                    SELECT unnest([{", ".join(f"'{c}'" for c in MODEL_INPUTS)}]) AS feature
+                    UNION ALL
+                    SELECT 'loc_' || segment FROM cats WHERE loc_idx < (SELECT max(loc_idx) FROM cats)))""",
+            "cats",
+        ),
+        "kmeans_sweep_spread": sql(
+            """SELECT k, 1 AS below_spread, 1 AS silhouette_in_range, round(spread, 4) AS spread
+               FROM (SELECT unnest([2, 3, 4, 5, 6, 7]) AS k), (SELECT sum(x * x + y * y + z * z) AS spread FROM xyz)""",
+            "std", "xyz", xyz=XYZ,
+        ),
+        "cluster_compare_range": """
+            SELECT unnest(['K-Means (k=3)', 'Gaussian Mixture (k=3)', 'Bisecting K-Means (k=3)']) AS algorithm,
+                   0 AS out_of_range""",
+        "fitted_tier_totals": sql(
+            """SELECT form, count(*) AS n_entities, round(avg(avg_daily_wd), 4) AS avg_daily_wd,
+                      'Low Medium High' AS tiers, 1 AS ascending
+               FROM prof, (SELECT unnest(['log', 'plain']) AS form) GROUP BY form""",
+            "prof",
+        ),
+        "pca_scores": sql(
+            """SELECT entity_id, round(abs(x * u1 + y * u2 + z * u3) / sqrt(u1 * u1 + u2 * u2 + u3 * u3), 5) AS pc1,
+                      round(abs(x * v1 + y * v2 + z * v3) / sqrt(v1 * v1 + v2 * v2 + v3 * v3), 5) AS pc2,
+                      round(l1 / 3, 5) AS explained1, round(l2 / 3, 5) AS explained2
+               FROM xyz, axes""",
+            "std", "xyz", "cor", "roots", "axes",
+            xyz=XYZ,
+            cor="SELECT corr(x, y) AS a, corr(x, z) AS b, corr(y, z) AS c FROM xyz",
+            roots="""
+                SELECT a, b, c, 1 + 2 * q * cos(f) AS l1, 1 - 2 * q * (cos(f) + cos(f + 2 * pi() / 3)) AS l2
+                FROM (SELECT *, acos(greatest(-1, least(1, a * b * c / (q * q * q)))) / 3 AS f
+                      FROM (SELECT *, sqrt((a * a + b * b + c * c) / 3) AS q FROM cor))""",
+            axes="""
+                SELECT l1, l2, a * c - b * (1 - l1) AS u1, a * b - c * (1 - l1) AS u2, (1 - l1) ** 2 - a * a AS u3,
+                       a * c - b * (1 - l2) AS v1, a * b - c * (1 - l2) AS v2, (1 - l2) ** 2 - a * a AS v3 FROM roots""",
+        ),
         "table_roundtrip": sql(
             f"SELECT entity_id, day, segment, value, n_ok, n_failed FROM {RECORDS_IN_REGION}", "daily", "ent"
         ),

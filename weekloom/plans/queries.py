@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from weekloom.functions import grouped, percent, season_cos, season_sin, week_of_year, week_start
 from weekloom.operators import calendar as cal
@@ -478,7 +479,7 @@ def _train_test(spark, sf) -> tuple[DataFrame, DataFrame, float]:
     inputs = [ROLES.entity, ROLES.segment, ROLES.week, "wd", *features.NUMERIC]
     table = stage(feature_table(spark, sf).select(*inputs), "inputs")
     train, _ = labels.time_split(table, CUT, ROLES)
-    threshold = labels.sketch_threshold(train)
+    threshold = labels.exact_threshold(train)
     train, test = labels.time_split(labels.label_high(table, threshold), CUT, ROLES)
     return train, test, threshold
 
@@ -504,6 +505,96 @@ def feature_importance(spark, sf):
     return classify.feature_importance(fitted[classify.FOREST], features.NUMERIC)
 
 
+# ---- what holds for every fit -------------------------------------------------------------
+#
+# The fits are seeded MLlib fits, which SQL cannot repeat. These queries run them and return
+# what the data alone decides, next to 1 for each property of the fit that holds.
+
+
+def model_test_counts(spark, sf):
+    """LOW and HIGH rows of the test weeks as each model's confusion cells count them."""
+    train, test, _ = _train_test(spark, sf)
+    scores, _ = classify.compare_models(train, test, classify.default_models(), ROLES)
+    cell = lambda c: F.col(f"confusion.{c}").cast("long")
+    return scores.select(
+        "model",
+        (cell("TN") + cell("FP")).alias("n_low"),
+        (cell("FN") + cell("TP")).alias("n_high"),
+        F.col("auc").between(0, 1).cast("int").alias("auc_in_range"),
+    )
+
+
+def importance_names(spark, sf):
+    """Names of the weighed features, the sum of the weights, and the ends of rank and share."""
+    table = stage(feature_importance(spark, sf), "importance")
+    n_top = classify.top_features(table).count()
+    whole = Window.partitionBy()  # one row per feature
+    out = table.select(
+        "feature",
+        F.count(F.lit(1)).over(whole).alias("n_features"),
+        F.sum("importance").over(whole).alias("total"),
+        F.max("rank").over(whole).alias("last_rank"),
+        F.max("running_share").over(whole).alias("last_share"),
+        F.lit(n_top).cast("long").alias("n_top"),
+    )
+    return rounded_all(out, ["total", "last_share"], 6)
+
+
+def kmeans_sweep_spread(spark, sf):
+    """The SSE of every k against the spread of all rows around their mean."""
+    frame = _cluster_frame(spark, sf)
+    squares = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda s, x: s + x * x)
+    spread = frame.agg(F.sum(squares)).first()[0]
+    out = cluster.kmeans_sweep(frame)
+    frame.unpersist()
+    out = out.select(
+        "k",
+        (F.col("wssse") < spread).cast("int").alias("below_spread"),
+        F.col("silhouette").between(-1, 1).cast("int").alias("silhouette_in_range"),
+        F.lit(spread).alias("spread"),
+    )
+    return rounded_all(out, ["spread"], 4)
+
+
+def cluster_compare_range(spark, sf):
+    """The compared algorithms, and 1 for a silhouette out of range; one that finds a single cluster has none."""
+    outside = ~F.col("silhouette").between(-1, 1)
+    return cluster_compare(spark, sf).select(
+        "algorithm", F.coalesce(outside, F.lit(False)).cast("int").alias("out_of_range")
+    )
+
+
+def fitted_tier_totals(spark, sf):
+    """Entities and overall mean as the fitted tiers add up to them, with and without logs."""
+
+    def totals(form: str, log: bool) -> DataFrame:
+        rows = cluster.demand_tiers(_cluster_frame(spark, sf, log))
+        per = rows.groupBy("demand_tier", "tier_rank").agg(
+            F.count(F.lit(1)).alias("n"), F.avg("avg_daily_wd").alias("mean")
+        )
+        by_rank = F.transform(F.sort_array(F.collect_list(F.struct("tier_rank", "mean"))), lambda x: x["mean"])
+        by_name = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("tier_rank", "demand_tier"))),
+                                           lambda x: x["demand_tier"]), " ")
+        out = per.agg(
+            F.sum("n").alias("n_entities"),
+            (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("avg_daily_wd"),
+            by_name.alias("tiers"),
+            (by_rank == F.sort_array(by_rank)).cast("int").alias("ascending"),
+        )
+        return out.select(F.lit(form).alias("form"), "*")
+
+    return rounded_all(totals("log", True).unionByName(totals("plain", False)), ["avg_daily_wd"], 4)
+
+
+def pca_scores(spark, sf):
+    """Distances from the mean along both components, whose signs are free, and the explained shares."""
+    frame = _cluster_frame(spark, sf)
+    rows, explained = cluster.pca_projection(frame)
+    ratios = {f"explained{i + 1}": F.lit(v) for i, v in enumerate(explained)}
+    out = rows.select("entity_id", F.abs("pc1").alias("pc1"), F.abs("pc2").alias("pc2")).withColumns(ratios)
+    return rounded_all(out, ["pc1", "pc2", "explained1", "explained2"], 5)
+
+
 # ---- storage ------------------------------------------------------------------------------
 
 
@@ -597,6 +688,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pca_projection": pca_projection,
     "model_comparison": model_comparison,
     "feature_importance": feature_importance,
+    "model_test_counts": model_test_counts,
+    "importance_names": importance_names,
+    "kmeans_sweep_spread": kmeans_sweep_spread,
+    "cluster_compare_range": cluster_compare_range,
+    "fitted_tier_totals": fitted_tier_totals,
+    "pca_scores": pca_scores,
     "table_roundtrip": table_roundtrip,
     "tier_sink_roundtrip": tier_sink_roundtrip,
     "metrics_roundtrip": metrics_roundtrip,
