@@ -125,6 +125,30 @@ def test_lines_keep_one_of_each(spark):
     assert lines.removed_lines(df.where("false")).count() == 0
 
 
+def test_similar_lines_are_not_lost(spark):
+    """Pairs at the limit: lines of digits, of few words and without a space, one of them the other with an end."""
+    r = random.Random(11)
+    made = {
+        "stamp": lambda: f"2024-{r.randint(1, 12):02}-{r.randint(1, 28):02}T{r.randint(0, 23):02}:{r.randint(0, 59):02}:{r.randint(0, 59):02}Z "
+        + " ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(8, 14))) for _ in range(20)),
+        "hex": lambda: "".join(r.choices("0123456789abcdef", k=120)),
+        "letters": lambda: "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=120)),
+        "han": lambda: "".join(r.choices([chr(c) for c in range(0x4E00, 0x5200)], k=60)),
+        "short": lambda: "".join(r.choices("abcdefghij", k=14)),
+    }
+    rows = []
+    for kind, line in made.items():
+        for _ in range(100):
+            x = line()
+            y = line()[:24] + x[24:] if kind == "stamp" else x[: -max(1, len(x) // 40)] + ("" if kind == "short" else "#$%")
+            a, b = ({z[i : i + 5] for i in range(len(z) - 4)} for z in (x, y))
+            if 100 * len(a & b) >= 80 * len(a | b):
+                rows += [(len(rows), x), (len(rows) + 1, y)]
+    assert len(rows) > 900
+    gone = {r.doc_id for r in lines.removed_lines(docs(spark, rows)).where("n_removed > 0").collect()}
+    assert gone == set(range(1, len(rows), 2))
+
+
 def test_leaks(spark):
     items = [(1, prose(50, 20).capitalize() + ". " + prose(51, 15) + "."), (2, prose(52, 12) + "? " + prose(53, 8) + "."), (3, None), (4, ""),
              (5, "too short"), (None, prose(54, 20))]
