@@ -345,6 +345,13 @@ def test_wrapper_extracts_the_article(spark):
     assert wrapper.extract(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("icon", ['<svg-icon n="x"></svg-icon>', '<svg class="i" data-x="a>b"/>', "<SVG/>", "<math />", "<svg><path d=''/></svg>",
+                                  "<title-bar></title-bar>", "<template-x></template-x>", "<object-view></object-view>"])
+def test_icons_and_custom_elements_swallow_nothing(icon):
+    page = wrapper.parse(f"<article>{icon}<p>one</p>{icon}<p>two</p></article>")
+    assert wrapper.main_text(page) == "one two"
+
+
 def test_simple_tree_matching_counts_the_largest_match():
     r = random.Random(4)
 

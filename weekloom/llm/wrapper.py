@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from weekloom.staging import stage
 
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title|textarea|svg|iframe|object|math)\b[^>]*>.*?(?:</\1\s*>|\Z)"""
+    r"""<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/>])(?:"[^"]*"|'[^']*'|[^'">])*/>"""
+    r"""|<(script|style|noscript|template|title|textarea|svg|iframe|object|math)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"""
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>""", re.S | re.I)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
