@@ -345,6 +345,18 @@ def test_wrapper_extracts_the_article(spark):
     assert wrapper.extract(df.where("false")).count() == 0
 
 
+def test_wrapper_of_few_pages_and_of_each_layout(spark):
+    one = "<html><body><div class='box'><p>Read all about it</p><div>%s</div><p>Call us</p></div></body></html>"
+    two = "<html><body><section><div class='wide'><h2>Our motto</h2><div>%s</div><div>Write to us</div></div></section></body></html>"
+    rows = [(i, "https://few.example/", one % prose(i, 30)) for i in range(2)]
+    rows += [(i, "https://both.example/", (two if i % 10 < 3 else one) % prose(i, 30)) for i in range(10, 30)]
+    # versions of one article are no template of it
+    rows += [(i, "https://same.example/", one % (prose(50, 30) + f"</div><div>{prose(i, 2)}")) for i in range(50, 53)]
+    got = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == prose(i, 30) for i in got if i < 50)
+    assert all(prose(50, 30) in got[i] for i in range(50, 53))
+
+
 @pytest.mark.parametrize("icon", ['<svg-icon n="x"></svg-icon>', '<svg class="i" data-x="a>b"/>', "<SVG/>", "<math />", "<svg><path d=''/></svg>",
                                   "<title-bar></title-bar>", "<template-x></template-x>", "<object-view></object-view>"])
 def test_icons_and_custom_elements_swallow_nothing(icon):

@@ -1,8 +1,9 @@
 """HTML extraction by wrapper induction.
 
-The block elements of a page are a tree. Every page is aligned with a reference page of its host
-by simple tree matching; a node whose text is the same on nearly all different pages of the host
-is template, a node whose text varies is a slot. The main text is what stands in the slots of the
+The block elements of a page are a tree. Every page is aligned by simple tree matching with a
+reference page of its host, and with one of its layout where a host has several; a node whose text
+is the same on nearly all different pages of the host or of the layout is template, a node whose
+text varies is a slot. The main text is what stands in the slots of the
 article region, without menus, adverts, forms, comments and the like.
 """
 
@@ -48,7 +49,13 @@ HEADER_WORDS = frozenset(("header", "head"))
 MAIN_WORDS = frozenset(("main", "articlebody"))
 DEEPEST = 120
 #: Of at least so many different pages, so many per cent hold a template node's text.
-LEAST_PAGES, TEMPLATE_PERCENT = 5, 90
+LEAST_PAGES, TEMPLATE_PERCENT = 2, 90
+#: What fewer pages than this share is template only if it is at most half of a page's text: pages
+#: that share more are versions of one article.
+SURE_PAGES = 5
+#: What stands in an article rather than makes its layout, and how deep the layout is looked at.
+CONTENT = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre figure figcaption".split())
+LAYOUT_DEPTH, WHOLE = 6, -1
 
 
 @dataclass
@@ -280,91 +287,135 @@ def _slots(page: Page) -> list[tuple[int, int]]:
     return out
 
 
+def layout(page: Page, bad: list[bool]) -> int:
+    """A number for the containers around the article: their paths, tags and class words, each once."""
+    path: list[tuple | None] = [()]
+    for i in range(1, len(page.tag)):
+        up, tag, words = path[page.parent[i]], page.tag[i], page.words[i]
+        if up is None or bad[i] or tag in CONTENT or len(up) >= LAYOUT_DEPTH or up and (up[-1][0] in ("article", "main") or up[-1][2]):
+            path.append(None)
+            continue
+        named = " ".join(sorted(w for w in words if w.isalpha()))
+        path.append((*up, (tag, named, bool(words & MAIN_WORDS))))
+    return _hash(repr(sorted({x for x in path if x})))
+
+
 def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Host, a signature of all text, and the page without its text."""
+    """Host, layout, a signature of the text that is not dropped, and the page without its text."""
     for batch in batches:
-        out: list[list] = [[] for _ in range(7)]
-        for host, source in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        out: list[list] = [[] for _ in range(9)]
+        for host, key, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             page = parse(source.as_py() or "")
             bad = dropped(page)
             keep = [(s, _hash(t)) for s, t in zip(_slots(page), page.text, strict=True) if not bad[s[0]]]
-            for column, value in zip(out, (host, _hash("\n".join(page.text)), " ".join(page.tag), page.parent,
+            sig = _hash("\n".join(t for o, t in zip(page.owner, page.text, strict=True) if not bad[o]))
+            for column, value in zip(out, (host, key, layout(page, bad), sig, " ".join(page.tag), page.parent,
                                            [s[0] for s, _ in keep], [s[1] for s, _ in keep], [h for _, h in keep]), strict=True):
                 column.append(value)
         ints = pa.list_(pa.int32())
-        kinds = [pa.string(), pa.int64(), pa.string(), ints, ints, ints, pa.list_(pa.int64())]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), ints, ints, ints, pa.list_(pa.int64())]
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], SKELETON.names)
 
 
 class SKELETON:
-    names = ["host", "sig", "tags", "parents", "owner", "place", "hash"]
-    schema = "host string, sig long, tags string, parents array<int>, owner array<int>, place array<int>, hash array<long>"
+    names = ["host", "key", "layout", "sig", "tags", "parents", "owner", "place", "hash"]
+    schema = "host string, key long, layout long, sig long, tags string, parents array<int>, owner array<int>, place array<int>, hash array<long>"
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each block of a page the element of the reference that its element is aligned with."""
     for batch in batches:
-        out: list[list] = [[], [], [], []]
+        out: list[list] = [[], [], [], [], []]
         shapes: dict = {}
-        trees: dict[str, Tree] = {}
+        trees: dict[tuple, Tree] = {}
         for row in batch.to_pylist():
-            if row["host"] not in trees:
-                trees[row["host"]] = Tree(row["ref_tags"].split(), row["ref_parents"], shapes)
-            match = align(Tree(row["tags"].split(), row["parents"], shapes), trees[row["host"]])
+            group = row["host"], row["layout"]
+            if group not in trees:
+                trees[group] = Tree(row["ref_tags"].split(), row["ref_parents"], shapes)
+            match = align(Tree(row["tags"].split(), row["parents"], shapes), trees[group])
             for o, p, h in zip(row["owner"], row["place"], row["hash"], strict=True):
                 if o in match:
-                    for column, value in zip(out, (row["host"], match[o], p, h), strict=True):
+                    for column, value in zip(out, (*group, match[o], p, h), strict=True):
                         column.append(value)
-        kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["host", "node", "place", "hash"])
+        kinds = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["host", "layout", "node", "place", "hash"])
 
 
 def _refs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a task's pages the one of the smallest signature for each host."""
-    best: dict[str, tuple] = {}
+    """Of a task's pages the one of the smallest signature for each group."""
+    best: dict[tuple, tuple] = {}
     for batch in batches:
-        host, sig = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for i, (h, s) in enumerate(zip(host, sig, strict=True)):
-            if h not in best or s < best[h][0]:
-                best[h] = (s, batch.column(2)[i].as_py(), batch.column(3)[i].as_py())
-    rows = [(h, *v) for h, v in best.items()]
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.list_(pa.int32())]
-    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["host", "sig", "tags", "parents"])
-
-
-def wrappers(pages: DataFrame) -> DataFrame:
-    """``(host, ref_tags, ref_parents, nodes)`` of each host that has template nodes.
-
-    Pages of equal text count once, so that copies do not make a template.
+        groups = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+        for i, (g, s) in enumerate(zip(groups, batch.column(2).to_pylist(), strict=True)):
+            if g not in best or s < best[g][0]:
+                best[g] = (s, batch.column(3)[i].as_py(), batch.column(4)[i].as_py())
+    rows = [(*g, *v) for g, v in best.items()]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32())]
+    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
+                                     ["host", "layout", "sig", "tags", "parents"])
+
+
+def _groups(seen: DataFrame) -> DataFrame:
+    """The different pages of each host, as layout ``WHOLE``, and of each layout of a host of several."""
+    page = F.struct("tags", "parents", "owner", "place", "hash")
+    one = stage(seen.groupBy("host", "layout", "sig").agg(F.min(page).alias("x")), "pages")
+    whole = one.groupBy("host", "sig").agg(F.min("x").alias("x")).withColumn("layout", F.lit(WHOLE).cast("long"))
+    # counts of a host come from counts of its layouts, which are few
+    counts = one.groupBy("host", "layout").agg(F.count(F.lit(1)).alias("pages"))
+    several = counts.groupBy("host").agg(F.count(F.lit(1)).alias("layouts")).where("layouts > 1")
+    own = stage(counts.where(f"pages >= {LEAST_PAGES}").join(several, "host", "left_semi").select("host", "layout"), "layouts")
+    part = one.join(own, ["host", "layout"], "left_semi")
+    return stage(whole.unionByName(part).select("host", "layout", "sig", "x.*"), "groups")
+
+
+def wrappers(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(host, key, layout)`` of the pages and ``(host, layout, wrappers)`` of the layouts that have template nodes.
+
+    ``pages``: ``(host, key, html)``. Pages whose text is equal but for dropped elements count
+    once, so that copies do not make a template.
     """
-    seen = stage(pages.where("host is not null").select("host", "html").mapInArrow(_skeletons, SKELETON.schema), "skeletons")
-    one = seen.groupBy("host", "sig").agg(F.min(F.struct("tags", "parents", "owner", "place", "hash")).alias("x"))
-    seen = stage(one.select("host", "sig", "x.*"), "pages")
-    count = seen.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(f"pages >= {LEAST_PAGES}")
-    first = seen.select("host", "sig", "tags", "parents").mapInArrow(_refs, "host string, sig long, tags string, parents array<int>")
-    first = first.groupBy("host").agg(F.min(F.struct("sig", "tags", "parents")).alias("r"))
-    refs = stage(first.join(count, "host").select("host", F.col("r.tags").alias("ref_tags"), F.col("r.parents").alias("ref_parents"), "pages"), "refs")
-    nodes = seen.join(refs, "host").mapInArrow(_aligned, "host string, node int, place int, hash long")
-    nodes = nodes.groupBy("host", "node", "place", "hash").agg(F.count(F.lit(1)).alias("n"))
-    const = nodes.join(refs.select("host", "pages"), "host").where(f"100 * n >= {TEMPLATE_PERCENT} * pages")
-    const = const.groupBy("host").agg(F.collect_list(F.struct("node", "place", "hash")).alias("nodes"))
-    return stage(refs.join(const, "host").drop("pages"), "wrappers")
+    group = ["host", "layout"]
+    skeletons = stage(pages.where("host is not null").select("host", "key", "html").mapInArrow(_skeletons, SKELETON.schema), "skeletons")
+    at = skeletons.select("host", "key", "layout").distinct()
+    seen = _groups(skeletons)
+    count = seen.groupBy(*group).agg(F.count(F.lit(1)).alias("pages")).where(f"pages >= {LEAST_PAGES}")
+    first = seen.select(*group, "sig", "tags", "parents").mapInArrow(_refs, "host string, layout long, sig long, tags string, parents array<int>")
+    first = first.groupBy(*group).agg(F.min(F.struct("sig", "tags", "parents")).alias("r"))
+    refs = stage(first.join(count, group).select(*group, F.col("r.tags").alias("ref_tags"), F.col("r.parents").alias("ref_parents"), "pages"), "refs")
+    nodes = seen.join(refs, group).mapInArrow(_aligned, "host string, layout long, node int, place int, hash long")
+    nodes = nodes.groupBy(*group, "node", "place", "hash").agg(F.count(F.lit(1)).alias("n"))
+    const = nodes.join(refs.select(*group, "pages"), group).where(f"100 * n >= {TEMPLATE_PERCENT} * pages")
+    const = const.groupBy(*group).agg(F.collect_list(F.struct("node", "place", "hash")).alias("nodes"))
+    made = refs.join(const, group).select(*group, F.struct("pages", "ref_tags", "ref_parents", "nodes").alias("w"))
+    made = stage(made, "wrappers")
+    of_host = made.where(f"layout = {WHOLE}").select("host", F.col("w").alias("whole"))
+    known = skeletons.select(*group).distinct().join(of_host, "host", "left").join(made, group, "left")
+    known = known.select(*group, F.array_compact(F.array("whole", "w")).alias("wrappers")).where("size(wrappers) > 0")
+    return at, stage(known, "known")
+
+
+def _template(page: Page, wrapper: dict) -> frozenset:
+    """The blocks of a page that are template by one wrapper."""
+    shapes: dict = {}
+    ref = Tree(wrapper["ref_tags"].split(), wrapper["ref_parents"], shapes)
+    match = align(Tree(page.tag, page.parent, shapes), ref)
+    const = {(x["node"], x["place"], x["hash"]) for x in wrapper["nodes"]}
+    found = frozenset(k for k, ((o, p), t) in enumerate(zip(_slots(page), page.text, strict=True))
+                      if (match.get(o), p, _hash(t)) in const)
+    if found and wrapper["pages"] < SURE_PAGES:
+        bad = dropped(page)
+        size = sum(len(t) for o, t in zip(page.owner, page.text, strict=True) if not bad[o])
+        if 2 * sum(len(page.text[k]) for k in found) > size:
+            return frozenset()
+    return found
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        refs, nodes = batch.column(3), batch.column(5)
-        for i, source in enumerate(batch.column(2)):
+        for wrapped, source in zip(batch.column(3), batch.column(2), strict=True):
             page = parse(source.as_py() or "")
-            template: frozenset = frozenset()
-            if nodes[i].is_valid:
-                shapes: dict = {}
-                ref = Tree(refs[i].as_py().split(), batch.column(4)[i].as_py(), shapes)
-                match = align(Tree(page.tag, page.parent, shapes), ref)
-                const = {(x["node"], x["place"], x["hash"]) for x in nodes[i].as_py()}
-                template = frozenset(k for k, ((o, p), t) in enumerate(zip(_slots(page), page.text, strict=True))
-                                     if (match.get(o), p, _hash(t)) in const)
+            template = frozenset().union(*(_template(page, w) for w in wrapped.as_py() or ()))
             texts.append(main_text(page, template))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
@@ -375,13 +426,15 @@ def extract(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars)``: the main text of every row of ``pages``.
 
     A null html is an empty page with an empty text. A page whose url is null or names no host is
-    extracted without a template, as are hosts of fewer than five different pages. Null and
-    repeated ids stay as they are. Elements nested deeper than 120 join the one they stand in.
+    extracted without a template, as is the only page of its host. What all of two to four pages
+    share is template unless it is over half of a page's text. Null and repeated ids stay as they are. Elements nested deeper than 120 join the one they stand in.
     Other columns are not read.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
     rows = rows.withColumn("host", F.lower(F.nullif(F.regexp_extract("url", HOST, 1), F.lit(""))))
-    known = wrappers(rows)
-    both = rows.join(known, "host", "left").select("page_id", "url", "html", "ref_tags", "ref_parents", "nodes")
+    rows = rows.withColumn("key", F.xxhash64("html"))
+    at, known = wrappers(rows)
+    at = stage(at.join(known, ["host", "layout"], "left_semi"), "layout_of")
+    both = rows.join(at, ["host", "key"], "left").join(known, ["host", "layout"], "left").select("page_id", "url", "html", "wrappers")
     return both.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
