@@ -263,6 +263,17 @@ def test_colliding_surrogates_are_drawn_again(spark):
     assert len(set(made)) == 40
 
 
+def test_addresses_of_small_patterns_end(spark):
+    values = ["用户@例子.中国", "_@_.com", "-@_.com", "مثال@اسم.com", "שם@דוגמה.org", "かな@カナ.jp", "a@_.com", "გამარჯობა@ა.ge", "żółć@ż.pl"]
+    for v in values:
+        made = {surrogates.surrogate("email", v, b"k", a) for a in range(4)}
+        assert made - {v} and all(re.fullmatch(surrogates.EMAIL, m) for m in made)
+    rows = [(i, f"write to {v} now") for i, v in enumerate([*values, *(f"{c}@_.com" for c in "abcdefghijklmnopqrstuvwxyz")])]
+    got = {r.doc_id: r.text.split()[2] for r in surrogates.pseudonymise(docs(spark, rows), "k").collect()}
+    assert len({*got.values()}) == len({x.split()[2] for _, x in rows})
+    assert not {*got.values()} & {x.split()[2] for _, x in rows}
+
+
 def brute_topk(rows, every, k):
     ok = [(i, np.floor(np.array(v, float) * 1024)) for i, v in rows
           if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]

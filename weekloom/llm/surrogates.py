@@ -2,7 +2,7 @@
 
 Numbers and letters are replaced by a keyed permutation of all strings of the same pattern (a
 Feistel network with cycle walking), so two values never share a surrogate and a format stays
-what it was, card check digit included. Names get made-up names of the same gender and script.
+what it was, card check digit included; where a pattern has too few strings a later attempt is longer. Names get made-up names of the same gender and script.
 All values of the corpus are then checked together: a surrogate that equals its value, a value
 that occurs, or another surrogate is drawn again. Only those exceptions are joined with the texts.
 """
@@ -10,8 +10,11 @@ that occurs, or another surrogate is drawn again. Only those exceptions are join
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
+from functools import cache
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -91,22 +94,45 @@ def permute(x: int, n: int, key: bytes, tweak: str) -> int:
 
 ALPHABETS = tuple("".join(map(chr, range(ord(a), ord(b) + 1))) for a, b in ("09", "az", "AZ", "ая", "АЯ", "αω", "ΑΩ", "ßÿ"))
 OF = {c: a for a in ALPHABETS for c in a}
+#: A pattern of fewer strings is left for a longer surrogate at the second attempt, any at ``LATE``.
+SMALL, LATE = 1_000_000, 16
+
+
+@cache
+def _alphabet(c: str) -> str:
+    """What may stand for a letter or digit: its alphabet, or its kind within the 128 characters around it."""
+    if c in OF or not c.isalnum():
+        return OF.get(c, "")
+    first = ord(c) & ~127
+    return "".join(x for x in map(chr, range(first, first + 128)) if x.isalnum() and x not in OF and category(x) == category(c))
+
+
+def _space(value: str) -> int:
+    return math.prod(len(_alphabet(c)) or 1 for c in value)
+
+
+def _more(canon: str, key: bytes, tweak: str, letters: str, n: int) -> str:
+    """``n`` characters drawn for a value."""
+    seed, out = _random(key, f"more|{tweak}", int.from_bytes(canon.encode(), "big"), 128), ""
+    for i in range(n):
+        out += letters[_random(key, f"more|{tweak}|{i}", seed, 32) % len(letters)]
+    return out
 
 
 def reshape(value: str, key: bytes, tweak: str) -> str:
     """Another string of the same pattern: digits for digits, letters for letters of their script."""
     total, size = 0, 1
     for c in value:
-        if c in OF:
-            total = total * len(OF[c]) + OF[c].index(c)
-            size *= len(OF[c])
-    pattern = "".join(str(ALPHABETS.index(OF[c])) if c in OF else c for c in value)
+        if a := _alphabet(c):
+            total = total * len(a) + a.index(c)
+            size *= len(a)
+    pattern = "".join((str(ALPHABETS.index(a)) if a in ALPHABETS else f"({a[0]})") if (a := _alphabet(c)) else c for c in value)
     total = permute(total, size, key, f"{tweak}|{pattern}")
     out = []
     for c in reversed(value):
-        if c in OF:
-            total, digit = divmod(total, len(OF[c]))
-            c = OF[c][digit]
+        if a := _alphabet(c):
+            total, digit = divmod(total, len(a))
+            c = a[digit]
         out.append(c)
     return "".join(reversed(out))
 
@@ -142,6 +168,8 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
         local, _, domain = canon.partition("@")
         first, dot, rest = domain.partition(".")
         # what lies left of the last labels is one pattern, so that the address as a whole stays distinct
+        if attempt and (attempt >= LATE or _space(local + first) < SMALL):
+            return f"{_more(canon, key, tweak, ALPHABETS[1], 8 + attempt)}@{reshape(first, key, f'{tweak}|{rest}')}{dot}{rest}"
         made = reshape(f"{local}@{first}", key, f"{tweak}|{rest}")
         return made + dot + rest
     if kind == "ip":
@@ -154,6 +182,10 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
         return made + next(str(d) for d in range(10) if _luhn(made + str(d)) == off)
     if kind == "iban":
         return canon[:2] + reshape(canon[2:], key, tweak)
+    if kind in ("ssn", "phone") and attempt >= LATE:
+        # a short number of which all others occur gets more digits
+        sign = "+" if canon.startswith("+") else ""
+        return sign + reshape(canon[len(sign) :], key, tweak) + _more(canon, key, tweak, ALPHABETS[0], attempt // LATE)
     if kind == "phone" and canon.startswith("+"):
         keep = max(2, len(canon) - 10)
         return canon[:keep] + reshape(canon[keep:], key, f"{tweak}|{canon[:keep]}")
@@ -166,7 +198,7 @@ def render(kind: str, value: str, made: str) -> str:
         return "".join(b.upper() if a.isupper() and len(b.upper()) == 1 else b for a, b in zip(value, made, strict=True)) if len(value) == len(made) else made
     if kind in ("ssn", "card", "phone", "iban"):
         left = iter(made.lstrip("+"))
-        return "".join(next(left) if c.isalnum() else c for c in value)
+        return "".join([next(left) if c.isalnum() else c for c in value]) + "".join(left)
     return made
 
 
