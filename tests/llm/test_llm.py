@@ -274,6 +274,19 @@ def test_addresses_of_small_patterns_end(spark):
     assert not {*got.values()} & {x.split()[2] for _, x in rows}
 
 
+def test_more_titles_phones_and_names_said_again(spark):
+    texts = ["Mr John Smith met Dr Jane Roe. Smith said that John Smith and Roe left; Smiths, Smith-Jones stay.", "Herr Dr. Schmidt, Sr. Pablo and Doña Carmen; Carmen",
+             "call 1-800-555-0199 or 555 123 4567 or 020 7946 0958 or 01 23 45 67 89", "card 4539 1488 0343 6467"]
+    got = {r.doc_id: r for r in surrogates.pseudonymise(docs(spark, list(enumerate(texts))), "k").collect()}
+    m = re.fullmatch(r"Mr (\w+) (\w+) met Dr (\w+) (\w+)\. (\w+) said that (\w+ \w+) and (\w+) left; Smiths, Smith-Jones stay\.", got[0].text)
+    assert m[2] == m[5] != "Smith" and m[6] == f"{m[1]} {m[2]}" and m[4] == m[7] != "Roe" and got[0].n_entities == 5
+    m = re.fullmatch(r"Herr Dr\. (\w+), Sr\. (\w+) and Doña (\w+); (\w+)", got[1].text)
+    assert m[3] == m[4] and not {"Schmidt", "Pablo", "Carmen"} & {*m.groups()}
+    assert got[2].n_entities == 4 and not any(x in got[2].text for x in ("555-0199", "123 4567", "7946 0958", "23 45 67"))
+    assert re.fullmatch(r"call \d-\d{3}-\d{3}-\d{4} or \d{3} \d{3} \d{4} or \d{3} \d{4} \d{4} or \d\d( \d\d){4}", got[2].text)
+    assert got[3].n_entities == 1
+
+
 def brute_topk(rows, every, k):
     ok = [(i, np.floor(np.array(v, float) * 1024)) for i, v in rows
           if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]

@@ -25,8 +25,9 @@ from weekloom.llm import scan
 from weekloom.staging import stage
 
 # Fixed forms of address that announce a name, by gender.
-TITLES = {"m": ("Mr", "Mister", "Herr", "Monsieur", "Señor", "Sir", "господин", "г-н"),
-          "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Lady", "госпожа", "г-жа")}
+TITLES = {"m": ("Mr", "Mister", "Herr", "Monsieur", "Señor", "Sr", "Don", "Sir", "Lord", "господин", "г-н"),
+          "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Doña", "Dra", "Dame", "Lady", "госпожа", "г-жа"),
+          "n": ("Dr", "Doctor", "Doktor", "Docteur", "Prof", "Professor", "Professeur", "Mx", "Rev", "Reverend", "доктор", "профессор")}
 TITLE_GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 # Syllables of made-up names and their endings, by script and gender.
 SYLLABLES = {
@@ -36,6 +37,7 @@ SYLLABLES = {
                  " па ра ре ри ро са се си та те ти то ва ве ви во").split(),
 }
 ENDINGS = {("latin", "m"): ("n", "rd", "s", "ck"), ("latin", "f"): ("a", "ia", "elle", "ina"),
+           ("latin", "n"): ("en", "or", "is", "el"), ("cyrillic", "n"): ("ко", "их", "ен", "ук"),
            ("cyrillic", "m"): ("н", "р", "с", "слав"), ("cyrillic", "f"): ("на", "ия", "ина", "лия")}
 
 EMAIL = r"(?<![\w.+%-])[\w+%-]+(?:\.[\w+%-]+)*@[\w-]+(?:\.[\w-]+)+"
@@ -45,11 +47,17 @@ SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 CARD = r"(?<![\w.-])\d(?:[\x20-]?\d){12,18}(?![\w-]|\.\d)"
 PHONE = (r"(?<![\w.+(-])(?:\+\d{1,3}[\x20.-]?)?\(\d{2,4}\)[\x20.-]?\d{3,4}[\x20.-]?\d{3,4}(?![\w-]|\.\d)"
          r"|(?<![\w.+(-])\+\d{1,3}(?:[\x20.-]?\d{2,4}){2,5}(?![\w-]|\.\d)"
-         r"|(?<![\w.+(-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]|\.\d)")
-NAME = (r"(?<!\w)(?:" + "|".join(TITLE_GENDER) + r")\.?\x20[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+(?:[\x20-][A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+){0,2}")
+         r"|(?<![\w.+(-])(?:1[\x20.-])?\d{3}[\x20.-]\d{3}[\x20.-]\d{4}(?![\w-]|\.\d|\x20\d{4})"
+         r"|(?<![\w.+(-])0\d{1,4}[\x20./-]\d{3,4}[\x20.-]?\d{3,4}(?![\w-]|\.\d|\x20\d{4})"
+         r"|(?<![\w.+(-])0\d(?:[\x20.-]\d{2}){4}(?![\w-]|\.\d)")
+UPPER, LOWER = "A-ZÀ-ÖØ-ÞА-ЯЁ", "a-zß-öø-ÿа-яё"
+WORD = rf"[{UPPER}][{LOWER}]+"
+NAME = r"(?<!\w)((?:(?:" + "|".join(TITLE_GENDER) + rf")\.?\x20)+)({WORD}(?:[\x20-]{WORD}){{0,2}})"
 KINDS = ("email", "ip", "iban", "ssn", "phone", "card")
 NUMBERS = re.compile("|".join(f"(?P<{k}>{p})" for k, p in zip(KINDS, (EMAIL, IP, IBAN, SSN, PHONE, CARD), strict=True)))
 NAMES = re.compile(NAME)
+#: A word that may be a name said again, alone.
+AGAIN = re.compile(rf"(?<![\w-]){WORD}(?!\w|-\w)")
 
 
 def find(text: str, numbers: bool = True) -> list[tuple[int, int, str]]:
@@ -57,12 +65,47 @@ def find(text: str, numbers: bool = True) -> list[tuple[int, int, str]]:
     found = [(m.start(), m.end(), m.lastgroup) for m in NUMBERS.finditer(text)] if numbers else []
     if any(t in text for t in TITLE_GENDER):
         for m in NAMES.finditer(text):
-            start = m.start() + m.group().index(" ") + 1
+            start = m.start(2)
             if not any(s < m.end() and start < e for s, e, _ in found):
-                found.append((start, m.end(), "name:" + TITLE_GENDER[text[m.start() : start - 1].rstrip(".")]))
+                genders = [TITLE_GENDER[t.rstrip(".")] for t in m[1].split()]
+                found.append((start, m.end(), "name:" + next((g for g in genders if g != "n"), "n")))
     return sorted(found)
 
 
+def mentions(text: str, numbers: bool = True) -> list[tuple[int, int, str, str, tuple[int, int] | None]]:
+    """``(start, end, kind, canon, words)`` of all entities, in order and apart.
+
+    A name that stands after a title is also found where it, or words of it, stand alone elsewhere
+    in the text; ``words`` then is the range of its words, ``canon`` the name as announced. A word
+    of several names means the one announced last before it, or the first one.
+    """
+    first = find(text, numbers)
+    out = [(s, e, k, canonical(k, text[s:e]), None) for s, e, k in first]
+    named: dict[str, list[tuple[int, str, str, int]]] = {}
+    for s, _, k, canon, _ in out:
+        if k.startswith("name:"):
+            for i, word in enumerate(re.split(r"[\x20-]", canon)):
+                named.setdefault(word, []).append((s, k, canon, i))
+    if not named:
+        return out
+    more: list[tuple] = []
+    at = 0
+    for m in AGAIN.finditer(text):
+        if m.group() not in named:
+            continue
+        while at < len(first) and first[at][1] <= m.start():
+            at += 1
+        if at < len(first) and first[at][0] < m.end():
+            continue
+        known = named[m.group()]
+        _, k, canon, i = next((x for x in reversed(known) if x[0] < m.start()), known[0])
+        if more and more[-1][2:4] == (k, canon) and more[-1][4][1] == i and text[more[-1][1] : m.start()] == " ":
+            more[-1] = (more[-1][0], m.end(), k, canon, (more[-1][4][0], i + 1))
+        else:
+            more.append((m.start(), m.end(), k, canon, (i, i + 1)))
+    return sorted([*out, *more], key=lambda x: x[0])
+
+
 def canonical(kind: str, value: str) -> str:
     """What mentions of one entity share: case of an address, signs of a number do not matter."""
     if kind == "email":
@@ -219,7 +262,7 @@ def _entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = _candidates(*scan.buffers(batch.column(1)))
         for key, text, has in zip(batch.column(0).to_pylist(), batch.column(1), numbers, strict=True):
             text = text.as_py() or ""
-            out += {(key, k, canonical(k, text[s:e])) for s, e, k in find(text, has)}
+            out += {(key, k, canonical(k, text[s:e])) for s, e, k in find(text, has)}  # names said again add none
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True)],
                                              ["key", "kind", "canon"])
@@ -265,6 +308,14 @@ def attempts(values: DataFrame, key: bytes) -> DataFrame:
 def pseudonymise(docs: DataFrame, key: str = "replace this key") -> DataFrame:
     """``(doc_id, text, n_entities)``: every row with its entities replaced.
 
+    Found are e-mail addresses, IPv4 addresses, IBANs, numbers like 123-45-6789, cards, phone
+    numbers that start with + or have separators in common places, and names of up to three
+    capitalised words after a title of ``TITLES``; such a name, and each word of it, is replaced
+    in the whole text, whatever else the word may mean. Not found: names that never follow such a
+    title in their text, names in other scripts than Latin and Cyrillic, names in capitals,
+    IPv6, phone numbers of plain digits or other separators, numbers in rows without an ASCII digit or at sign,
+    postal addresses, dates of birth, numbers of passports and the like.
+
     The same value gets the same surrogate in all rows, another value another one; who holds the
     key can repeat the run. A null text stays null with no entities, texts without entities stay
     as they are, null and repeated ids do not matter. Other columns are not read.
@@ -283,13 +334,15 @@ def pseudonymise(docs: DataFrame, key: str = "replace this key") -> DataFrame:
             numbers = _candidates(*scan.buffers(batch.column(1)))
             for text, odd_ones, has in zip(batch.column(1), batch.column(2), numbers, strict=True):
                 text = text.as_py()
-                found = find(text, has) if text else []
+                found = mentions(text, has) if text else []
                 if found:
                     tries = {(x["kind"], x["canon"]): x["attempt"] for x in odd_ones.as_py() or ()}
                     parts, at = [], 0
-                    for s, e, k in found:
-                        canon = canonical(k, text[s:e])
-                        parts += [text[at:s], render(k, text[s:e], surrogate(k, canon, secret, tries.get((k, canon), 0)))]
+                    for s, e, k, canon, words in found:
+                        made = surrogate(k, canon, secret, tries.get((k, canon), 0))
+                        if words:
+                            made = " ".join(re.split(r"[\x20-]", made)[slice(*words)])
+                        parts += [text[at:s], render(k, text[s:e], made)]
                         at = e
                     text = "".join([*parts, text[at:]])
                 texts.append(text)
