@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekloom.llm import decontaminate, jaccard, lines, mixing, periodic, quality, secrets, sharding, spelling, surrogates, topk, wrapper
+from weekloom.llm import (decontaminate, jaccard, lines, mixing, periodic, quality, repeats, secrets, sharding, spelling, surrogates,
+                          topk, wrapper)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +68,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(spelling.count_words(table(spark, sf_dir, "documents"), planted=True))
 
 
+def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the digest of its words outside repeated passages of 35 words."""
+    return repeats.kept_digests(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of every document, the tail of every tenth one repeated."""
     return periodic.run_digests(table(spark, sf_dir, "documents"), planted=True)
@@ -76,7 +82,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_mixture_rates, op2_wrapper_extract, op3_pii_surrogates, op4_histogram_topk, op5_guess_cost_secrets,
-        op6_extendible_shards, op7_fuzzy_lines, op8_benchmark_leaks, op9_quality_scores, op10_jaccard_components, op11_spelling_variants, op13_periodic_runs,
+        op6_extendible_shards, op7_fuzzy_lines, op8_benchmark_leaks, op9_quality_scores, op10_jaccard_components, op11_spelling_variants,
+        op12_repeated_passages, op13_periodic_runs,
     )
 }
 ORACLE_SQL = {"op6_extendible_shards": sharding.SQL.format(documents="documents", limit=sharding.LIMIT_BYTES)}

@@ -8,6 +8,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE_BYTES = 1 << 20
 
@@ -41,3 +42,18 @@ def numbered(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         base += len(seen)
     starts = np.cumsum([0, *map(len, texts)])
     return np.concatenate(parts) if parts else np.zeros(0, np.int64), starts
+
+
+class Hashes(dict):
+    """64-bit hash of a word, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+def hashed(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hash of every word, and where each text begins and the last ends."""
+    known = Hashes()
+    parts = [np.fromiter(map(known.__getitem__, held), np.uint64, len(held)) for held in texts]
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.cumsum([0, *map(len, texts)])
