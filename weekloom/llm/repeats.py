@@ -30,7 +30,7 @@ from weekloom.staging import stage
 
 U = np.uint64
 WINDOW, GRAM = 35, 12
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 18
 #: An anchor of more different stretches than this is taken apart into whole windows.
 HOT = 4096
 BASE = U(0x9E3779B97F4A7C15)
@@ -92,7 +92,7 @@ def _lists(values: pa.Array, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), values)
 
 
-ANCHORS = "u long, v long, key array<long>, seg array<long>, first array<int>, size array<int>"
+ANCHORS = "u long, v int, key array<long>, seg array<long>, first array<int>, size array<int>"
 
 
 def _anchors(window: int, gram: int):
@@ -215,18 +215,17 @@ def _sharded(payload: DataFrame, words: int, window: int, shard_words: int) -> D
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Texts and 128 bits that name the row by id and text."""
+    """Texts and 96 bits that name the row by id and text."""
     text = F.col("text").cast("string")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
-                       F.xxhash64("doc_id", text).alias("u"), F.xxhash64(F.lit("v"), text, "doc_id").alias("v"))
+                       F.xxhash64("doc_id", text).alias("u"), F.hash(text, "doc_id").alias("v"))
 
 
 def _payload_of(texts: DataFrame, segs: DataFrame) -> DataFrame:
     """The words of one stretch of each kind, from the row that was chosen for it."""
     part = F.struct("first", "size", "key", "seg", "n")
-    wanted = stage(segs.select("rep.*", "key", "seg", "n").groupBy("u", "v").agg(F.collect_list(part).alias("parts")), "wanted")
-    some = texts.join(wanted.select("u").distinct(), "u", "left_semi")
-    return some.join(wanted, ["u", "v"]).select("text", "parts").mapInArrow(_payload, PAYLOAD)
+    wanted = segs.select("rep.*", "key", "seg", "n").groupBy("u", "v").agg(F.collect_list(part).alias("parts"))
+    return texts.join(wanted, ["u", "v"]).select("text", "parts").mapInArrow(_payload, PAYLOAD)
 
 
 def _by_windows(payload: DataFrame, window: int, shard_words: int) -> DataFrame:
@@ -300,18 +299,10 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield part, [wordstream.words(t) for t in texts], [merged(s) for s in part.column(2).to_pylist()]
 
 
-def _with_spans(docs: DataFrame, **how) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, text, spans)`` of rows that hold repeated passages, and of the others.
-
-    Only the rows that hold any meet their intervals by a shuffle of texts; Spark sends the names of
-    these rows to every task if they are few.
-    """
-    texts = _keyed(docs)
+def _with_spans(docs: DataFrame, **how) -> DataFrame:
+    """``(doc_id, text, spans)`` of every row; one shuffle of texts."""
     spans = stage(repeated_spans(docs, **how), "spans")
-    named = stage(spans.select("u").distinct(), "named")
-    held = texts.join(named, "u", "left_semi").join(spans, ["u", "v"], "left").select("doc_id", "text", "spans")
-    empty = F.lit(None).cast(held.schema["spans"].dataType).alias("spans")
-    return held, texts.join(named, "u", "left_anti").select("doc_id", "text", empty)
+    return _keyed(docs).join(spans, ["u", "v"], "left").select("doc_id", "text", "spans")
 
 
 def repeated_passages(docs: DataFrame, window: int = WINDOW, **how) -> DataFrame:
@@ -330,7 +321,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, **how) -> DataFrame
                     for i, w, s in zip(ids, held, spans, strict=True) for lo, hi in s]
             yield pa.RecordBatch.from_pylist(rows, pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("words", pa.int64()), ("passage", pa.string())]))
 
-    return _with_spans(docs, window=window, **how)[0].mapInArrow(cut, "doc_id long, first long, words long, passage string")
+    return _with_spans(docs, window=window, **how).mapInArrow(cut, "doc_id long, first long, words long, passage string")
 
 
 def kept_digests(docs: DataFrame, window: int = WINDOW, **how) -> DataFrame:
@@ -348,5 +339,4 @@ def kept_digests(docs: DataFrame, window: int = WINDOW, **how) -> DataFrame:
                 ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    held, others = _with_spans(docs, window=window, **how)
-    return held.mapInArrow(digest, schema).unionByName(others.mapInArrow(digest, schema))
+    return _with_spans(docs, window=window, **how).mapInArrow(digest, schema)
