@@ -259,11 +259,14 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shar
     segs = stage(each.groupBy("key", "seg").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("u", "v", "first", "size")).alias("rep")), "stretches")
     busy = stage(segs.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > hot).select("key"), "busy")
-    calm = segs.join(busy, "key", "left_anti")
-    total = calm.agg(F.sum((F.col("rep.size") + 1) * F.least(F.col("n"), F.lit(2))).alias("words")).first()
-    found = [_sharded(_payload_of(texts, calm), total["words"] or 0, window, shard_words)]
-    if busy.limit(1).count():
-        found.append(_by_windows(_payload_of(texts, segs.join(busy, "key", "left_semi")), window, shard_words))
+    total = segs.agg(F.sum((F.col("rep.size") + 1) * F.least(F.col("n"), F.lit(2))).alias("words")).first()
+    # read by both ways, so that texts are shuffled once
+    payload = stage(_payload_of(texts, segs), "payload")
+    any_busy = busy.limit(1).count() > 0
+    calm = payload.join(busy, "key", "left_anti") if any_busy else payload
+    found = [_sharded(calm, total["words"] or 0, window, shard_words)]
+    if any_busy:
+        found.append(_by_windows(payload.join(busy, "key", "left_semi"), window, shard_words))
     for k, part in enumerate(found):
         found[k] = stage(part, "found")
     where = found[0] if len(found) == 1 else found[0].unionByName(found[1])
