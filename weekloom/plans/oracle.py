@@ -5,7 +5,8 @@ from __future__ import annotations
 from weekloom.operators.cluster import VOLUME
 from weekloom.operators.features import LAG_RATIOS, LAGS, NUMERIC, ROLLING
 from weekloom.operators.profile import PROFILE
-from weekloom.plans.queries import CENTERS, DIGITS, SWEEP, TICKET
+from weekloom.plans.queries import (CENTERS, DIGITS, EM_INPUTS, EM_START, EM_STEPS, LLOYD_STEPS, NEWTON_INPUTS, SCALED, SPLIT_INPUTS,
+                                    STUMP_INPUTS, SWEEP, TICKET)
 from weekloom.sources.star_schema import CUT, END, EVENTS, START, USER_END, USER_START
 
 N_DAYS = (END - START).days + 1
@@ -185,7 +186,88 @@ def sql(select: str, *needs: str, **override: str) -> str:
     for n in needs:
         visit(n)
     body = {**CTE, **override}
-    return "WITH " + ",\n".join(f"{n} AS ({body[n]})" for n in order) + "\n" + select
+    kept = lambda n: "MATERIALIZED " if n in READ_OFTEN else ""
+    return "WITH " + ",\n".join(f"{n} AS {kept(n)}({body[n]})" for n in order) + "\n" + select
+
+
+# read once per step of an iteration
+READ_OFTEN = {"two", "points", "pairs2", "vals"}
+
+
+def steps_sql(first: str, step: str, n: int, last: str, *needs: str, **own: str) -> str:
+    """``last`` over the state after ``n`` steps; ``step`` and ``last`` read the one-row state as ``st``."""
+    states = {"st0": first} | {f"st{i + 1}": step.replace("FROM st", f"FROM st{i}") for i in range(n)}
+    return sql(last.replace("FROM st", f"FROM st{n}"), *needs, *states, **own, **states)
+
+
+def newton_sql(steps: int = 8) -> str:
+    a, b = NEWTON_INPUTS
+    scaled = lambda c: f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER ()"
+    sums = {"h00": "v", "h01": "v * a", "h02": "v * b", "h11": "v * a * a", "h12": "v * a * b", "h22": "v * b * b",
+            "g0": "r", "g1": "r * a", "g2": "r * b"}
+    det = lambda m: "(" + " + ".join(f"{m[0][i]} * ({m[1][(i + 1) % 3]} * {m[2][(i + 2) % 3]} - {m[1][(i + 2) % 3]} * {m[2][(i + 1) % 3]})" for i in range(3)) + ")"
+    h = [["h00", "h01", "h02"], ["h01", "h11", "h12"], ["h02", "h12", "h22"]]
+    swapped = lambda k: [[f"g{i}" if j == k else h[i][j] for j in range(3)] for i in range(3)]
+    step = f"""
+        SELECT {", ".join(f"w{k} + {det(swapped(k))} / {det(h)} AS w{k}" for k in range(3))} FROM (
+          SELECT any_value(w0) AS w0, any_value(w1) AS w1, any_value(w2) AS w2, {", ".join(f"sum({v}) AS {k}" for k, v in sums.items())} FROM (
+            SELECT *, p * (1 - p) AS v, y - p AS r FROM (
+              SELECT *, 1 / (1 + exp(-(w0 + w1 * a + w2 * b))) AS p FROM (SELECT * FROM st), two)))"""
+    last = "\nUNION ALL\n".join(f"SELECT '{t}' AS term, round(w{k}, 6) AS weight, 1 AS fit_agrees FROM st" for k, t in enumerate(["intercept", a, b]))
+    two = f"SELECT y, {scaled(a)} AS a, {scaled(b)} AS b FROM lab WHERE week_start < DATE '{CUT}'"
+    zero = "SELECT CAST(0 AS DOUBLE) AS w0, CAST(0 AS DOUBLE) AS w1, CAST(0 AS DOUBLE) AS w2"
+    return steps_sql(zero, step, steps, last, "lab", "two", two=two)
+
+
+def lloyd_sql() -> str:
+    axes, ks = range(len(SCALED)), range(len(CENTERS))
+    first = "SELECT " + ", ".join(f"CAST({CENTERS[k][i]} AS DOUBLE) AS c{k}_{i}" for k in ks for i in axes)
+    d = lambda k: " + ".join(f"({SCALED[i]} - c{k}_{i}) ** 2" for i in axes)
+    near = f"""SELECT *, least(d0, d1, d2) AS d, CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS p
+               FROM (SELECT *, {", ".join(f"{d(k)} AS d{k}" for k in ks)} FROM (SELECT * FROM st), points)"""
+    step = "SELECT " + ", ".join(
+        f"coalesce(avg({SCALED[i]}) FILTER (p = {k}), any_value(c{k}_{i})) AS c{k}_{i}" for k in ks for i in axes) + f" FROM ({near})"
+    last = "\nUNION ALL\n".join(
+        f"""SELECT {k} AS cluster, count(*) FILTER (p = {k}) AS n_rows, round(coalesce(sum(d) FILTER (p = {k}), 0), 6) AS sse,
+                   {", ".join(f"round(any_value(c{k}_{i}), 6) AS c{i}" for i in axes)} FROM ({near})""" for k in ks)
+    return steps_sql(first, step, LLOYD_STEPS, last, "std", "points", points=f"SELECT {', '.join(SCALED)} FROM std")
+
+
+def em_sql() -> str:
+    weights, means, covs = EM_START
+    names = ("w", "a", "b", "aa", "ab", "bb")
+    start = lambda k: (weights[k], *means[k], covs[k][0][0], covs[k][0][1], covs[k][1][1])
+    first = "SELECT " + ", ".join(f"CAST({v} AS DOUBLE) AS {n}{k}" for k in (0, 1) for n, v in zip(names, start(k)))
+    det = lambda k: f"(aa{k} * bb{k} - ab{k} * ab{k})"
+    quad = lambda k: f"(bb{k} * (x - a{k}) ** 2 - 2 * ab{k} * (x - a{k}) * (z - b{k}) + aa{k} * (z - b{k}) ** 2) / {det(k)}"
+    dens = lambda k: f"w{k} * exp(-0.5 * {quad(k)}) / sqrt({det(k)})"
+    shares = f"""SELECT x, z, e0 / (e0 + e1) AS r0, e1 / (e0 + e1) AS r1
+                 FROM (SELECT x, z, {dens(0)} AS e0, {dens(1)} AS e1 FROM (SELECT * FROM st), points)"""
+    moments = lambda k: (f"sum(r{k}) / count(*) AS w{k}, sum(r{k} * x) / sum(r{k}) AS a{k}, sum(r{k} * z) / sum(r{k}) AS b{k}, "
+                         f"sum(r{k} * x * x) / sum(r{k}) - (sum(r{k} * x) / sum(r{k})) ** 2 AS aa{k}, "
+                         f"sum(r{k} * x * z) / sum(r{k}) - sum(r{k} * x) / sum(r{k}) * sum(r{k} * z) / sum(r{k}) AS ab{k}, "
+                         f"sum(r{k} * z * z) / sum(r{k}) - (sum(r{k} * z) / sum(r{k})) ** 2 AS bb{k}")
+    step = f"SELECT {moments(0)}, {moments(1)} FROM ({shares})"
+    shown_as = dict(zip(names, ("weight", "m0", "m1", "v00", "v01", "v11")))
+    last = "\nUNION ALL\n".join(
+        f"SELECT {k} AS component, " + ", ".join(f"round({n}{k}, 6) AS {c}" for n, c in shown_as.items()) + " FROM st" for k in (0, 1))
+    return steps_sql(first, step, EM_STEPS, last, "std", "points", points=f"SELECT {EM_INPUTS[0]} AS x, {EM_INPUTS[1]} AS z FROM std")
+
+
+def split_places(inputs: list[str]) -> str:
+    """Every place between two distinct training values, with its fall of the Gini impurity."""
+    long = "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, y FROM lab WHERE week_start < DATE '{CUT}'" for c in inputs)
+    gini = lambda pos, n: f"2 * ({pos} / {n}) * (1 - {pos} / {n})"
+    return f"""
+        SELECT feature, (v + nv) / 2 AS threshold, CAST(nl AS BIGINT) AS n_left, CAST(pl AS BIGINT) AS pos_left, n, pos,
+               {gini("pos", "n")} - nl / n * {gini("pl", "nl")} - (n - nl) / n * {gini("(pos - pl)", "(n - nl)")} AS gain
+        FROM (SELECT feature, v, lead(v) OVER (PARTITION BY feature ORDER BY v) AS nv,
+                     CAST(sum(c) OVER (PARTITION BY feature ORDER BY v) AS DOUBLE) AS nl, CAST(sum(p) OVER (PARTITION BY feature ORDER BY v) AS DOUBLE) AS pl,
+                     CAST(sum(c) OVER (PARTITION BY feature) AS DOUBLE) AS n, CAST(sum(p) OVER (PARTITION BY feature) AS DOUBLE) AS pos
+              FROM (SELECT feature, v, count(*) AS c, sum(y) AS p FROM ({long}) GROUP BY feature, v)) WHERE nv IS NOT NULL"""
+
+
+BEST_SPLITS = "SELECT * FROM vals QUALIFY row_number() OVER (PARTITION BY feature ORDER BY round(gain, 12) DESC, threshold) = 1"
 
 
 USER_PANEL = {
@@ -450,6 +532,30 @@ def oracle_sql() -> dict[str, str]:
                       WHEN 'Medium' THEN 'every 2-3 days' ELSE 'daily monitoring' END AS policy FROM tiered""",
             "tiered",
         ),
+        "logistic_newton": newton_sql(),
+        "logistic_certificate": sql(f"SELECT count(*) AS n_rows, 1 AS optimal, 1 AS informs FROM lab WHERE week_start < DATE '{CUT}'", "lab"),
+        "best_splits": sql(f"SELECT feature, threshold, round(gain, 9) AS gain, n_left, pos_left FROM ({BEST_SPLITS})", "lab", "vals",
+                           vals=split_places(SPLIT_INPUTS)),
+        "forest_stump": sql(f"SELECT feature, threshold, round(gain, 9) AS gain FROM ({BEST_SPLITS}) ORDER BY gain DESC LIMIT 1", "lab", "vals",
+                            vals=split_places(STUMP_INPUTS)),
+        "boosting_rounds": sql(
+            f"""SELECT i AS round, CASE WHEN i = 1 THEN round(loss, 8) END AS first_loss, 1 AS fell
+                FROM (SELECT unnest([1, 2, 3, 4, 5, 6, 7, 8]) AS i), (
+                  SELECT 2 * (pos_left * ln(1 + exp(-2 * fl)) + (n_left - pos_left) * ln(1 + exp(2 * fl))
+                              + (pos - pos_left) * ln(1 + exp(-2 * fr)) + (n - n_left - pos + pos_left) * ln(1 + exp(2 * fr))) / n AS loss
+                  FROM (SELECT *, 2.0 * pos_left / n_left - 1 AS fl, 2.0 * (pos - pos_left) / (n - n_left) - 1 AS fr
+                        FROM ({BEST_SPLITS}) ORDER BY gain DESC LIMIT 1))""", "lab", "vals", vals=split_places(STUMP_INPUTS)),
+        "lloyd_centers": lloyd_sql(),
+        "kmeans_certificate": sql(
+            "SELECT k, (SELECT count(*) FROM std) AS n_rows, 1 AS fixed, 1 AS cost_agrees FROM (SELECT unnest([2, 3, 4, 5, 6, 7]) AS k)", "std"),
+        "bisecting_tree": sql(
+            "SELECT count(*) AS n_all, round(sum(x * x + y * y + z * z), 4) AS sse_all, CAST(3 AS BIGINT) AS n_splits, 1 AS rows_add_up, 1 AS sse_falls FROM xyz",
+            "std", "xyz", xyz=XYZ),
+        "mixture_em": em_sql(),
+        "distinct_sketch": "SELECT count(DISTINCT user_id) AS n_exact, 1 AS within_error FROM events",
+        "quantile_sketch": sql(
+            f"""SELECT q, count(*) AS n_rows, 1 AS within_error FROM feat, (SELECT unnest([CAST(0.5 AS DOUBLE), CAST(0.9 AS DOUBLE)]) AS q)
+                WHERE week_start < DATE '{CUT}' GROUP BY q""", "feat"),
         "model_test_counts": sql(
             f"""SELECT model, count(*) FILTER (y = 0) AS n_low, count(*) FILTER (y = 1) AS n_high, 1 AS auc_in_range
                 FROM lab, (SELECT unnest(['Logistic Regression', 'Random Forest', 'Gradient-Boosted Trees']) AS model)

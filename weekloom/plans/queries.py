@@ -6,15 +6,20 @@ display only, after all computation.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from weekloom import constants as K
 from weekloom.functions import grouped, percent, season_cos, season_sin, week_of_year, week_start
 from weekloom.operators import calendar as cal
-from weekloom.operators import classify, cluster, encode, features, labels, metrics
-from weekloom.operators import panel, profile, quality, report, rollup
+from weekloom.operators import centers, classify, cluster, encode, features, labels, logistic, metrics
+from weekloom.operators import panel, profile, quality, report, rollup, sketches, splits
 from weekloom.sources import metrics_json, star_schema as star, tables
 from weekloom.sources.star_schema import CUT, END, EVENTS, ROLES, START
 from weekloom.staging import new_folder, stage
@@ -25,6 +30,13 @@ LOGGED = [f"log_{c}" for c in cluster.VOLUME]
 SCALED = [f"{c}_scaled" for c in LOGGED]
 TICKET = 3200.0
 DEARER = {"ASIA": 1.25}
+NEWTON_INPUTS = ["lag1_wd", "roll4_wd"]
+SPLIT_INPUTS = ["lag1_wd", "lag2_wd", "lag1_tx", "lag1_outage_days", "payday_days", "festival_days"]
+STUMP_INPUTS = ["lag1_outage_days", "payday_days", "festival_days"]
+MOST_BINS = 4096
+LLOYD_STEPS, EM_STEPS = 12, 5
+EM_INPUTS = SCALED[::2]
+EM_START = ([0.5, 0.5], [[-1.0, -1.0], [1.0, 1.0]], [[[1.0, 0.0], [0.0, 1.0]]] * 2)
 
 # columns whose last bits depend on the order of additions or on the math library
 DIGITS = {
@@ -595,6 +607,125 @@ def pca_scores(spark, sf):
     return rounded_all(out, ["pc1", "pc2", "explained1", "explained2"], 5)
 
 
+# ---- proofs of the fits -------------------------------------------------------------------
+
+
+def logistic_newton(spark, sf):
+    """Weights of two standardised inputs by Newton steps, and whether the MLlib fit has the same."""
+    train, _, _ = _train_test(spark, sf)
+    moments = encode.column_moments(train, NEWTON_INPUTS)
+    names = [f"{c}_scaled" for c in NEWTON_INPUTS]
+    rows = stage(encode.scale_columns(train.select("label", *NEWTON_INPUTS), moments, center=True), "two-inputs")
+    last = logistic.newton_steps(rows, names).orderBy(F.desc("step")).first()
+    fit = LogisticRegression(tol=1e-9).fit(VectorAssembler(inputCols=names, outputCol="features").transform(rows))
+    fitted = [fit.intercept, *fit.coefficients.toArray().tolist()]
+    table = [(t, w, int(abs(w - v) < 1e-4)) for t, w, v in zip(["intercept", *NEWTON_INPUTS], last["weights"], fitted, strict=True)]
+    return rounded_all(spark.createDataFrame(table, "term string, weight double, fit_agrees int"), ["weight"], 6)
+
+
+def logistic_certificate(spark, sf):
+    """The compared logistic fit on all inputs: rows, and 1 if the slope of its log loss vanishes (1e-4 in unit-deviation inputs)."""
+    train, _, _ = _train_test(spark, sf)
+    entry = classify.default_models()["Logistic Regression"]
+    stages = [*encode.encoding_stages(ROLES), encode.unit_std_stage(), entry.estimator.copy({entry.estimator.featuresCol: "features"})]
+    model = Pipeline(stages=stages).fit(classify.pinned(train, [ROLES.entity, ROLES.week]))
+    own = model.stages[-1]
+    scored = model.transform(train).select("label", "features")
+    proof = logistic.optimality(scored, own.coefficients.toArray().tolist(), own.intercept)
+    return proof.select("n_rows", (F.col("gradient") < 1e-4).cast("int").alias("optimal"), (F.col("loss") <= math.log(2)).cast("int").alias("informs"))
+
+
+def best_splits(spark, sf):
+    """The exact best split of every input over all distinct training values."""
+    train, _, _ = _train_test(spark, sf)
+    return rounded_all(splits.best_splits(train, SPLIT_INPUTS).withColumn("pos_left", F.col("pos_left").cast("long")).drop("n", "pos"),
+                       ["gain"], 9)
+
+
+def _stump_rows(spark, sf) -> DataFrame:
+    train, _, _ = _train_test(spark, sf)
+    rows = VectorAssembler(inputCols=STUMP_INPUTS, outputCol="raw").transform(classify.pinned(train, [ROLES.entity, ROLES.week]))
+    return rows.select("label", "raw").persist()
+
+
+def forest_stump(spark, sf):
+    """Feature, threshold and gain of a forest of one unsampled tree of depth one."""
+    rows = _stump_rows(spark, sf)
+    forest = RandomForestClassifier(featuresCol="raw", numTrees=1, maxDepth=1, maxBins=MOST_BINS, featureSubsetStrategy="all",
+                                    bootstrap=False, seed=K.CLASSIFIER_SEED)
+    root = forest.fit(rows)._java_obj.trees()[0].rootNode()
+    rows.unpersist()
+    table = [(STUMP_INPUTS[root.split().featureIndex()], float(root.split().threshold()), float(root.gain()))]
+    return rounded_all(spark.createDataFrame(table, "feature string, threshold double, gain double"), ["gain"], 9)
+
+
+def boosting_rounds(spark, sf):
+    """Training loss of boosted stumps: the first round's, and for each round 1 unless the loss rose."""
+    rows = _stump_rows(spark, sf)
+    model = GBTClassifier(featuresCol="raw", maxIter=8, maxDepth=1, maxBins=MOST_BINS, seed=K.CLASSIFIER_SEED).fit(rows)
+    out = splits.boosting_losses(model, rows)
+    rows.unpersist()
+    return rounded_all(out.select("round", F.when(F.col("round") == 1, F.col("loss")).alias("first_loss"), "fell"), ["first_loss"], 8)
+
+
+def lloyd_centers(spark, sf):
+    """Centers, rows and SSE after a fixed number of Lloyd steps from fixed centers."""
+    out = centers.lloyd(stage(_standardised(spark, sf).select(*SCALED), "points"), SCALED, CENTERS, LLOYD_STEPS, tolerance=-1.0)
+    parts = [F.col("center")[i].alias(f"c{i}") for i in range(len(SCALED))]
+    return rounded_all(out.select("cluster", "n_rows", "sse", *parts), ["sse", "c0", "c1", "c2"], 6)
+
+
+def kmeans_certificate(spark, sf):
+    """Every fit of the sweep: rows, 1 if its centers are the means of their rows, 1 if its cost is their SSE."""
+    frame = _cluster_frame(spark, sf)
+    names = [f"x{i}" for i in range(len(SCALED))]
+    rows = stage(frame.select(*[vector_to_array("features")[i].alias(c) for i, c in enumerate(names)]), "points")
+    table = []
+    for k in range(2, 8):
+        model = cluster.kmeans(k).fit(frame)
+        proof = centers.fixed_point(rows, names, [c.tolist() for c in model.clusterCenters()]).first()
+        table.append((k, proof["n_rows"], int(proof["shift"] < 1e-3), int(abs(proof["sse"] - model.summary.trainingCost) <= 1e-6 * proof["sse"] + 1e-9)))
+    frame.unpersist()
+    return spark.createDataFrame(table, "k int, n_rows long, fixed int, cost_agrees int")
+
+
+def bisecting_tree(spark, sf):
+    """Splits of the bisection: rows add up, SSE falls, and the root's rows and SSE."""
+    rows = stage(_standardised(spark, sf).select(*SCALED), "points")
+    tree = centers.bisect(rows, SCALED, 4)[1].persist()
+    kids = tree.where("parent is not null").groupBy(F.col("parent").alias("node")).agg(F.sum("n_rows").alias("below"), F.sum("sse").alias("sse_below"))
+    root = tree.where("parent is null").select(F.col("n_rows").alias("n_all"), F.col("sse").alias("sse_all"))
+    out = kids.join(tree, "node").join(F.broadcast(root)).groupBy("n_all", "sse_all").agg(
+        F.count(F.lit(1)).alias("n_splits"), F.min((F.col("below") == F.col("n_rows")).cast("int")).alias("rows_add_up"),
+        F.min((F.col("sse_below") < F.col("sse")).cast("int")).alias("sse_falls"))
+    return rounded_all(out, ["sse_all"], 4)
+
+
+def mixture_em(spark, sf):
+    """Weight, mean and covariance of two components after fixed EM steps from a fixed start."""
+    rows = stage(_standardised(spark, sf).select(*EM_INPUTS), "points")
+    weights, means, covariances = EM_START
+    for _ in range(EM_STEPS):
+        out = centers.mixture_step(rows, EM_INPUTS, weights, means, covariances).orderBy("component")
+        found = out.collect()
+        weights, means = [r["weight"] for r in found], [r["mean"] for r in found]
+        covariances = [[r["covariance"][:2], r["covariance"][2:]] for r in found]
+    parts = {"m0": F.col("mean")[0], "m1": F.col("mean")[1], "v00": F.col("covariance")[0], "v01": F.col("covariance")[1], "v11": F.col("covariance")[3]}
+    return rounded_all(out.select("component", "weight", *[v.alias(c) for c, v in parts.items()]), ["weight", *parts], 6)
+
+
+def distinct_sketch(spark, sf):
+    """Distinct users from stored weekly sketches, merged: exact figure, and 1 if the estimate is within the stated error."""
+    kept = sketches.stored_distinct(star.user_records(spark, sf), week_start("day"), "entity_id")
+    return sketches.distinct_check(kept, quality.entity_count(star.user_records(spark, sf), ROLES))
+
+
+def quantile_sketch(spark, sf):
+    """Median and 90th percentile of the training weeks from stored weekly sketches, merged: 1 if the rank error is within the stated error."""
+    train, _ = labels.time_split(stage(feature_table(spark, sf).select("week_start", "wd"), "wd"), CUT, ROLES)
+    return sketches.quantile_check(train, sketches.stored_quantiles(train, F.col("week_start"), "wd"), "wd", (0.5, 0.9))
+
+
 # ---- storage ------------------------------------------------------------------------------
 
 
@@ -694,6 +825,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cluster_compare_range": cluster_compare_range,
     "fitted_tier_totals": fitted_tier_totals,
     "pca_scores": pca_scores,
+    "logistic_newton": logistic_newton,
+    "logistic_certificate": logistic_certificate,
+    "best_splits": best_splits,
+    "forest_stump": forest_stump,
+    "boosting_rounds": boosting_rounds,
+    "lloyd_centers": lloyd_centers,
+    "kmeans_certificate": kmeans_certificate,
+    "bisecting_tree": bisecting_tree,
+    "mixture_em": mixture_em,
+    "distinct_sketch": distinct_sketch,
+    "quantile_sketch": quantile_sketch,
     "table_roundtrip": table_roundtrip,
     "tier_sink_roundtrip": tier_sink_roundtrip,
     "metrics_roundtrip": metrics_roundtrip,
