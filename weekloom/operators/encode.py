@@ -14,6 +14,9 @@ from weekloom.functions import prefixed
 from weekloom.operators.features import NUMERIC
 from weekloom.roles import Roles
 
+#: Categories that may be sent to every task: a name and a number each, a few MB together.
+BROADCAST_ROWS = 100_000
+
 
 def category_index(df: DataFrame, column: str, index: str = "loc_idx") -> DataFrame:
     """One row per category: rows and index by descending frequency, ties alphabetical.
@@ -33,6 +36,20 @@ def with_category_index(df: DataFrame, categories: DataFrame, column: str, index
     return df.join(categories.select(column, index), column, "left")
 
 
+def checked_category_index(
+    df: DataFrame, categories: DataFrame, column: str, index: str = "loc_idx", most: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Attach the index; a row whose category is null or not in ``categories`` raises when it is read.
+
+    ``categories`` has one row per category. It is counted first: up to ``most`` rows go to every
+    task, so that the rows of ``df`` stay where they are; beyond that Spark chooses the join.
+    """
+    side = categories.select(column, index)
+    known = F.broadcast(side) if side.count() <= most else side
+    unseen = F.raise_error(F.concat(F.lit(f"unseen {column}: "), F.coalesce(F.col(column).cast("string"), F.lit("NULL"))))
+    return df.join(known, column, "left").withColumn(index, F.coalesce(F.col(index), unseen.cast("double")))
+
+
 def one_hot_columns(df: DataFrame, n: int, index: str = "loc_idx", prefix: str = "loc_") -> DataFrame:
     """``n - 1`` 0/1 columns; the last (rarest) category is all zeros."""
     return df.withColumns({f"{prefix}{i}": (F.col(index) == i).cast("int") for i in range(n - 1)})

@@ -11,6 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.ml.feature import Bucketizer
 
+from weekloom.staging import stage
 from weekloom.functions import safe_ratio
 
 
@@ -104,6 +105,37 @@ def roc_auc(
     )
 
 
+def curve_areas(scored: DataFrame, score: str, label: str = "label", bins: int = 1000, cells: int | None = None) -> DataFrame:
+    """One row n_pos, n_neg, n_scores, auc and binned_auc, both from one staged count per distinct score.
+
+    The binned curve joins ceil(n_scores / bins) neighbouring scores to one point, highest first, so it has
+    at most ``bins`` points; with as many bins as scores it is the exact curve. Scores get their rank from
+    their value range's offset and their place in the range, so no window sees more than one range.
+    NULL areas if a class is absent; rows with a null or NaN score or label take no part.
+    """
+    rows = scored.select(F.col(score).cast("double").alias("s"), F.col(label).cast("bigint").alias("y")).dropna()
+    counts = stage(rows.groupBy("s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")), "scores")
+    n_cells = cells or 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = sorted(set(counts.approxQuantile("s", [i / n_cells for i in range(1, n_cells)], 0.5 / n_cells))) if n_cells > 1 else []
+    ranged = Bucketizer(splits=[float("-inf"), *(cuts or [0.0]), float("inf")], inputCol="s", outputCol="cell").transform(counts)
+    per = ranged.groupBy("cell").agg(F.count(F.lit(1)).alias("m"), F.sum("pos").alias("cp"))
+    above = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = per.select("cell", F.coalesce(F.sum("m").over(above), F.lit(0)).alias("m0"), F.coalesce(F.sum("cp").over(above), F.lit(0)).alias("p0"),
+                         F.sum("m").over(Window.partitionBy()).alias("total"))
+    inside = Window.partitionBy("cell").orderBy(F.desc("s"))
+    placed = ranged.select("cell", "pos", "neg", F.row_number().over(inside).alias("k"),
+                           F.coalesce(F.sum("pos").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("higher")).join(offsets, "cell")
+    size = F.ceil(F.col("total") / F.lit(bins))
+    won = F.col("neg").cast("double") * (F.col("p0") + F.col("higher") + F.col("pos") / 2)
+    points = placed.select(F.floor((F.col("m0") + F.col("k") - 1) / size).alias("bin"), "pos", "neg", won.alias("won"))
+    points = points.groupBy("bin").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("won").alias("won"), F.count(F.lit(1)).alias("m"))
+    earlier = F.coalesce(F.sum("pos").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a bin
+    points = points.withColumn("binned", F.col("neg").cast("double") * (earlier + F.col("pos") / 2))
+    one = points.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum("m").alias("n_scores"), F.sum("won").alias("won"), F.sum("binned").alias("binned"))
+    pairs = F.col("n_pos").cast("double") * F.col("n_neg")
+    return one.select("n_pos", "n_neg", "n_scores", safe_ratio(F.col("won"), pairs).alias("auc"), safe_ratio(F.col("binned"), pairs).alias("binned_auc"))
+
+
 # ---- clusters -------------------------------------------------------------------
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import datetime as dt
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from weekloom.functions import exact_sum, safe_ratio
 from weekloom.operators.labels import exact_threshold
@@ -72,6 +74,35 @@ def data_quality(daily: DataFrame, roles: Roles = Roles()) -> DataFrame:
     )
 
 
+def day_span(rows: DataFrame, roles: Roles = Roles()) -> tuple:
+    """First and last day of a table, from one aggregation; ``(None, None)`` without any."""
+    row = rows.agg(F.min(F.col(roles.day).cast("date")).alias("a"), F.max(F.col(roles.day).cast("date")).alias("b")).first()
+    return row["a"], row["b"]
+
+
+def whole_weeks(first, last) -> tuple:
+    """The first Monday on or after ``first`` and the last Sunday on or before ``last``; ``(None, None)`` if no whole week lies between."""
+    if first is None or last is None:
+        return None, None
+    start = first + dt.timedelta(-first.weekday() % 7)
+    end = last - dt.timedelta((last.weekday() + 1) % 7)
+    return (start, end) if start < end else (None, None)
+
+
+def dropped_rows(rows: DataFrame, start, end, roles: Roles = Roles()) -> DataFrame:
+    """One row: how many rows an explicit range of days keeps, and how many lie before it, after it or have no day."""
+    day = F.col(roles.day).cast("date")
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(day).alias("first_day"), F.max(day).alias("last_day"),
+        F.count_if(day < F.lit(start)).alias("n_before"), F.count_if(day > F.lit(end)).alias("n_after"), F.count_if(day.isNull()).alias("n_undated"),
+    )
+
+
+def ranked(summary: DataFrame, by: str, first: str, name: str = "rank") -> DataFrame:
+    """A small summary with its order as a column: largest ``by`` first, ties by ``first``."""
+    return summary.withColumn(name, F.row_number().over(Window.orderBy(F.desc(by), first)))
+
+
 def median_value(daily: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """One row with the exact median of the value column."""
     median = exact_threshold(daily, roles.value)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from weekloom.operators.cluster import VOLUME
 from weekloom.operators.features import LAG_RATIOS, LAGS, NUMERIC, ROLLING
 from weekloom.operators.profile import PROFILE
-from weekloom.plans.queries import (CENTERS, DIGITS, EM_INPUTS, EM_START, EM_STEPS, LLOYD_STEPS, NEWTON_INPUTS, SCALED, SPLIT_INPUTS,
+from weekloom.plans.queries import (CENTERS, CURVE_BINS, DIGITS, EM_INPUTS, EM_START, EM_STEPS, LLOYD_STEPS, NEWTON_INPUTS, SCALED, SPLIT_INPUTS,
                                     STUMP_INPUTS, SWEEP, TICKET)
 from weekloom.sources.star_schema import CUT, END, EVENTS, START, USER_END, USER_START
 
@@ -556,6 +556,54 @@ def oracle_sql() -> dict[str, str]:
         "quantile_sketch": sql(
             f"""SELECT q, count(*) AS n_rows, 1 AS within_error FROM feat, (SELECT unnest([CAST(0.5 AS DOUBLE), CAST(0.9 AS DOUBLE)]) AS q)
                 WHERE week_start < DATE '{CUT}' GROUP BY q""", "feat"),
+        "auc_curves": sql(
+            """SELECT CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg, CAST(sum(m) AS BIGINT) AS n_scores,
+                      round((SELECT sum(neg * (above + pos / 2.0)) / (sum(pos) * sum(neg)) FROM pairs2), 9) AS auc,
+                      round(sum(neg * (earlier + pos / 2.0)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)), 9) AS binned_auc
+               FROM (SELECT *, coalesce(sum(pos) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+                     FROM (SELECT bin, sum(pos) AS pos, sum(neg) AS neg, count(*) AS m FROM pairs2 GROUP BY bin))""",
+            "test", "pairs2",
+            pairs2=f"""
+                SELECT *, (row_number() OVER (ORDER BY s DESC) - 1) // CAST(ceil(count(*) OVER () / {CURVE_BINS}.0) AS BIGINT) AS bin,
+                       coalesce(sum(pos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above
+                FROM (SELECT lag1_wd AS s, CAST(sum(y) AS DOUBLE) AS pos, CAST(sum(1 - y) AS DOUBLE) AS neg FROM test GROUP BY lag1_wd)"""),
+        "error_windows": """
+            SELECT user_id, count(*) AS n_events, count(*) FILTER (event_type = 'error') AS n_errors FROM events e
+            WHERE EXISTS (SELECT 1 FROM events w WHERE w.event_type = 'error' AND w.user_id = e.user_id
+                          AND epoch_us(e.ts) BETWEEN epoch_us(w.ts) - 7200000000 AND epoch_us(w.ts) + (1 + w.event_id % 30) * 3600000000)
+            GROUP BY user_id""",
+        "encoded_split": sql(
+            f"""SELECT CASE WHEN week_start < DATE '{CUT}' THEN 'train' ELSE 'test' END AS part, loc_idx, count(*) AS n_rows
+                FROM feat JOIN cats USING (segment) GROUP BY 1, 2""", "cats"),
+        "range_report": f"""
+            SELECT count(*) AS n_rows, min(d) AS first_day, max(d) AS last_day, count(*) FILTER (d < DATE '{START}') AS n_before,
+                   count(*) FILTER (d > DATE '{END}') AS n_after, count(*) FILTER (d IS NULL) AS n_undated
+            FROM (SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem)""",
+        "weekly_span": """
+            WITH r AS (SELECT CAST(l_shipdate AS DATE) AS d, CAST(l_extendedprice AS DECIMAL(18,2)) AS v FROM lineitem),
+                 span AS (SELECT min(d) AS a, max(d) AS b FROM r)
+            SELECT CAST(date_trunc('week', d) AS DATE) AS week_start, CAST(sum(v) AS DOUBLE) AS wd, count(*) AS n_records FROM r, span
+            WHERE date_trunc('week', d) >= a AND date_trunc('week', d) + INTERVAL 6 DAY <= b GROUP BY 1""",
+        "gap_quality": """
+            SELECT count(*) AS n_rows, count(DISTINCT l_suppkey) AS n_entities,
+                   count(*) FILTER (l_linenumber IN (3, 5)) + count(*) FILTER (l_linenumber = 2) + count(*) FILTER (l_linenumber >= 6) AS missing_cells,
+                   count(*) - count(DISTINCT (l_suppkey, CAST(l_shipdate AS DATE))) AS duplicate_rows FROM lineitem""",
+        "panel_quality": sql(
+            """SELECT count(*) AS n_rows, count(DISTINCT entity_id) AS n_entities, count(*) FILTER (n_ok = 0) AS outage_rows,
+                      round(count(*) FILTER (n_ok = 0) / CAST(count(*) AS DOUBLE), 8) AS outage_share, round(avg(is_weekend), 8) AS is_weekend_share,
+                      round(avg(is_payday), 8) AS is_payday_share, round(avg(is_event), 8) AS is_event_share FROM panel""", "panel"),
+        "segment_ranking": sql(
+            """SELECT segment, n_entities, round(m, 4) AS avg_daily_value, round(a, 4) AS avg_daily_count,
+                      CAST(row_number() OVER (ORDER BY m DESC, segment) AS INTEGER) AS rank
+               FROM (SELECT segment, count(DISTINCT entity_id) AS n_entities, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS m,
+                            sum(n_ok) / CAST(count(*) AS DOUBLE) AS a FROM panel GROUP BY segment)""", "panel"),
+        "tier_order": sql("SELECT tier_rank, demand_tier, count(*) AS n_entities FROM tiered GROUP BY 1, 2", "tiered"),
+        "segmentation_job": sql(
+            """SELECT segment, count(*) AS n_entities, (SELECT count(*) FROM ent) AS n_all, CAST(3 AS BIGINT) AS n_tiers FROM ent GROUP BY segment""", "ent"),
+        "classification_job": sql(
+            f"""SELECT count(*) FILTER (week_start < DATE '{CUT}') AS train_rows, count(*) FILTER (week_start >= DATE '{CUT}') AS test_rows,
+                       count(*) AS weekly_rows, (SELECT count(*) FROM panel) AS daily_rows, 'Logistic Regression' AS best_model,
+                       count(*) FILTER (week_start >= DATE '{CUT}') AS n_scored FROM feat""", "feat", "panel"),
         "model_test_counts": sql(
             f"""SELECT model, count(*) FILTER (y = 0) AS n_low, count(*) FILTER (y = 1) AS n_high, 1 AS auc_in_range
                 FROM lab, (SELECT unnest(['Logistic Regression', 'Random Forest', 'Gradient-Boosted Trees']) AS model)

@@ -6,6 +6,7 @@ display only, after all computation.
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from collections.abc import Callable
 
@@ -18,8 +19,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from weekloom import constants as K
 from weekloom.functions import grouped, percent, season_cos, season_sin, week_of_year, week_start
 from weekloom.operators import calendar as cal
-from weekloom.operators import centers, classify, cluster, encode, features, labels, logistic, metrics
+from weekloom.operators import centers, classify, cluster, encode, features, intervals, labels, logistic, metrics
 from weekloom.operators import panel, profile, quality, report, rollup, sketches, splits
+from weekloom.plans import jobs
 from weekloom.sources import metrics_json, star_schema as star, tables
 from weekloom.sources.star_schema import CUT, END, EVENTS, ROLES, START
 from weekloom.staging import new_folder, stage
@@ -34,6 +36,7 @@ NEWTON_INPUTS = ["lag1_wd", "roll4_wd"]
 SPLIT_INPUTS = ["lag1_wd", "lag2_wd", "lag1_tx", "lag1_outage_days", "payday_days", "festival_days"]
 STUMP_INPUTS = ["lag1_outage_days", "payday_days", "festival_days"]
 MOST_BINS = 4096
+CURVE_BINS = 100
 LLOYD_STEPS, EM_STEPS = 12, 5
 EM_INPUTS = SCALED[::2]
 EM_START = ([0.5, 0.5], [[-1.0, -1.0], [1.0, 1.0]], [[[1.0, 0.0], [0.0, 1.0]]] * 2)
@@ -694,8 +697,9 @@ def bisecting_tree(spark, sf):
     rows = stage(_standardised(spark, sf).select(*SCALED), "points")
     tree = centers.bisect(rows, SCALED, 4)[1].persist()
     kids = tree.where("parent is not null").groupBy(F.col("parent").alias("node")).agg(F.sum("n_rows").alias("below"), F.sum("sse").alias("sse_below"))
-    root = tree.where("parent is null").select(F.col("n_rows").alias("n_all"), F.col("sse").alias("sse_all"))
-    out = kids.join(tree, "node").join(F.broadcast(root)).groupBy("n_all", "sse_all").agg(
+    root = tree.where("parent is null")
+    out = kids.join(tree, "node").agg(
+        root.select("n_rows").scalar().alias("n_all"), root.select("sse").scalar().alias("sse_all"),
         F.count(F.lit(1)).alias("n_splits"), F.min((F.col("below") == F.col("n_rows")).cast("int")).alias("rows_add_up"),
         F.min((F.col("sse_below") < F.col("sse")).cast("int")).alias("sse_falls"))
     return rounded_all(out, ["sse_all"], 4)
@@ -726,6 +730,109 @@ def quantile_sketch(spark, sf):
     return sketches.quantile_check(train, sketches.stored_quantiles(train, F.col("week_start"), "wd"), "wd", (0.5, 0.9))
 
 
+# ---- curves, windows, ranges and orders -----------------------------------------------------
+
+
+def auc_curves(spark, sf):
+    """Exact and binned area under the curve of last week's value, unrounded."""
+    table, _ = labelled(spark, sf)
+    _, test = labels.time_split(table, CUT, ROLES)
+    return rounded_all(metrics.curve_areas(test, "lag1_wd", bins=CURVE_BINS), ["auc", "binned_auc"], 9)
+
+
+def error_windows(spark, sf):
+    """Events of each user that lie around any of the user's errors: two hours before, up to 30 hours after."""
+    hour = 3_600_000_000
+    events = star.table(spark, sf, "events").select("user_id", "event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    errors = events.where("event_type = 'error'").select(
+        "user_id", (F.col("at") - 2 * hour).alias("opens"), (F.col("at") + (1 + F.col("event_id") % 30) * hour).alias("closes"))
+    hit = intervals.covered(events, errors, "at", "opens", "closes", 24 * hour, ["user_id"])
+    return hit.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("event_type") == "error").alias("n_errors"))
+
+
+def encoded_split(spark, sf):
+    """Rows of train and test weeks per category index, learned on train; an unseen segment would raise."""
+    table = stage(feature_table(spark, sf).select("segment", "week_start"), "segments")
+    categories = stage(_train_categories(table), "categories")
+    part = F.when(labels.is_train(CUT, ROLES), "train").otherwise("test")
+    return encode.checked_category_index(table, categories, ROLES.segment).groupBy(part.alias("part"), "loc_idx").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def range_report(spark, sf):
+    """All line items against the panel's range: the span they have, and the rows that the range leaves out."""
+    items = star.table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias(ROLES.day))
+    return quality.dropped_rows(items, START, END, ROLES)
+
+
+def weekly_span(spark, sf):
+    """Weekly totals over every whole week that the line items span, found in the data."""
+    items = star.supplier_records(spark, sf, dt.date(1, 1, 1), dt.date(9998, 12, 31))
+    first, last = quality.whole_weeks(*quality.day_span(items, ROLES))
+    if first is None:
+        first = last = dt.date(1970, 1, 1)
+    inside = items.where(F.col(ROLES.day).between(F.lit(first), F.lit(last)))
+    return inside.groupBy(week_start("day").alias("week_start")).agg(
+        panel.exact_sum(F.col("value"), ROLES.scale).alias("wd"), F.count(F.lit(1)).alias("n_records"))
+
+
+def gap_quality(spark, sf):
+    """Missing cells of a table that has them: prices NULL or NaN and flags NULL by line number."""
+    records = star.table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("entity_id"), F.col("l_shipdate").cast("date").alias("day"),
+        F.when(F.col("l_linenumber") == 3, F.lit(None)).when(F.col("l_linenumber") == 5, F.lit(float("nan"))).otherwise(F.col("l_extendedprice")).alias("value"),
+        F.when(F.col("l_linenumber") != 2, F.lit(1)).alias("n_ok"), F.when(F.col("l_linenumber") < 6, F.lit(0)).alias("n_failed"))
+    return quality.data_quality(records, ROLES).select("n_rows", "n_entities", "missing_cells", "duplicate_rows")
+
+
+def panel_quality(spark, sf):
+    """Quality figures of the dense panel with the shares of its flags."""
+    shares = [f"is_{c}_share" for c in ("weekend", "payday", "event")]
+    out = quality.data_quality(dense(spark, sf).select("entity_id", "day", "value", "n_ok", "n_failed", "is_weekend", "is_payday", "is_event"), ROLES)
+    return rounded_all(out.select("n_rows", "n_entities", "outage_rows", "outage_share", *shares), ["outage_share", *shares], 8)
+
+
+def segment_ranking(spark, sf):
+    """Segments with their place by mean value, from sums and the number of days, without the dense panel."""
+    per = daily(spark, sf).groupBy("entity_id").agg(panel.exact_sum(F.col("value"), ROLES.scale).alias("total"), F.sum("n_ok").alias("ok"))
+    people = star.suppliers(spark, sf).select("entity_id", "segment").join(per, "entity_id", "left")
+    days_each = cal.days_between(START, END)
+    summary = people.groupBy("segment").agg(
+        F.count(F.lit(1)).alias("n_entities"), (panel.exact_sum(F.col("total"), ROLES.scale) / (F.count(F.lit(1)) * days_each)).alias("avg_daily_value"),
+        (F.coalesce(F.sum("ok"), F.lit(0)) / (F.count(F.lit(1)) * days_each)).alias("avg_daily_count"))
+    return rounded_all(quality.ranked(summary, "avg_daily_value", "segment"), ["avg_daily_value", "avg_daily_count"], 4)
+
+
+def tier_order(spark, sf):
+    """Tiers with their business rank next to their size."""
+    return _tiered(spark, sf).groupBy("tier_rank", "demand_tier").agg(F.count(F.lit(1)).alias("n_entities"))
+
+
+# ---- whole jobs ----------------------------------------------------------------------------
+
+
+def segmentation_job(spark, sf):
+    """The whole segmentation on the supplier panel: its summary and mix files read back, added up per segment."""
+    path = new_folder(spark, "segmentation-job")
+    done = jobs.segment_demand(dense(spark, sf), path, ks=range(2, 4), roles=ROLES)
+    mix = tables.read_table(spark, f"{path}/tier_segment_mix", done.mix.schema)
+    summary = tables.read_table(spark, f"{path}/tier_profile", done.summary.schema)
+    return mix.select("segment", F.expr("Low + Medium + High").alias("n_entities"), summary.agg(F.sum("n_entities")).scalar().alias("n_all"),
+                      summary.agg(F.count(F.lit(1))).scalar().alias("n_tiers"))
+
+
+def classification_job(spark, sf):
+    """The whole classification on the supplier panel, one model: the counts of its results file in the published layout."""
+    path = new_folder(spark, "classification-job")
+    only = {"Logistic Regression": classify.default_models()["Logistic Regression"]}
+    done = jobs.classify_demand(dense(spark, sf), CUT, None, only, ROLES)
+    metrics_json.write_published(done.document, path)
+    meta = metrics_json.read_meta(spark, path, done.document.schema["_meta"].dataType)
+    models = metrics_json.read_models(spark, path).where("TN is not null")
+    n = models.agg(F.sum(F.expr("TN + FP + FN + TP")))
+    counts = [F.col(c).cast("long").alias(c) for c in ("train_rows", "test_rows", "weekly_rows", "daily_rows")]
+    return meta.select(*counts, "best_model", n.scalar().alias("n_scored"))
+
+
 # ---- storage ------------------------------------------------------------------------------
 
 
@@ -836,6 +943,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mixture_em": mixture_em,
     "distinct_sketch": distinct_sketch,
     "quantile_sketch": quantile_sketch,
+    "auc_curves": auc_curves,
+    "error_windows": error_windows,
+    "encoded_split": encoded_split,
+    "range_report": range_report,
+    "weekly_span": weekly_span,
+    "gap_quality": gap_quality,
+    "panel_quality": panel_quality,
+    "segment_ranking": segment_ranking,
+    "tier_order": tier_order,
+    "segmentation_job": segmentation_job,
+    "classification_job": classification_job,
     "table_roundtrip": table_roundtrip,
     "tier_sink_roundtrip": tier_sink_roundtrip,
     "metrics_roundtrip": metrics_roundtrip,

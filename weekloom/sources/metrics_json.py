@@ -33,6 +33,19 @@ def sweep_document(sweep: DataFrame) -> DataFrame:
     return sweep.agg(F.map_from_entries(pairs).alias("k_selection"))
 
 
+def write_published(document: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A one-row models document as one JSON object in the published layout: each model at the top, beside ``_meta``."""
+    rest = [c for c in document.columns if c != "models"]
+    pairs = F.transform(F.map_entries("models"), lambda e: F.struct(e["key"].alias("key"), F.to_json(e["value"]).alias("value")))
+    others = [F.struct(F.lit(c).alias("key"), F.to_json(F.col(c)).alias("value")) for c in rest]
+    members = F.concat(pairs, F.array(*others)) if others else pairs
+    listed = lambda key: F.to_json(F.array(key))
+    # a name as JSON text is that of a list of one without its brackets
+    text = lambda key: F.substr(listed(key), F.lit(2), F.length(listed(key)) - 2)
+    line = F.array_join(F.transform(members, lambda m: F.concat(text(m["key"]), F.lit(":"), m["value"])), ",")
+    document.select(F.concat(F.lit("{"), line, F.lit("}")).alias("value")).coalesce(1).write.mode(mode).text(path)
+
+
 def _members(spark: SparkSession, path: str) -> DataFrame:
     """``(name, body)``: the members of the one document at ``path``, each body still JSON."""
     document = spark.read.text(path, wholetext=True).where("trim(value) != ''")
