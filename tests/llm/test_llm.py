@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -75,6 +76,17 @@ def test_jaccard_components(spark, k, percent):
     assert all(x.n_shingles == size[x.doc_id] for x in got)
 
 
+def test_rows_that_repeat_often_end_soon(spark):
+    """A thousand rows of one id and text, a thousand of a near copy, and as many copies under ids of their own."""
+    base = prose(41, 120)
+    near = " ".join(base.split()[:-1])
+    rows = [(1, base)] * 1000 + [(2, near)] * 1000 + [(3, prose(42, 120))] + [(10 + i, base) for i in range(300)] + [(2, prose(43, 50)), (4, prose(43, 50))]
+    began = time.time()
+    got = {(r.doc_id, r.component_id) for r in jaccard.link_components(docs(spark, rows), 3, 90).collect()}
+    assert got == {(1, 1), (2, 1), (3, 3), (4, 1)} | {(10 + i, 1) for i in range(300)}
+    assert time.time() - began < 60
+
+
 def test_sketch_bounds_difference():
     a, b = prose(1, 300), prose(1, 300) + " " + prose(9, 40)
     raw = [x.encode() for x in (a, b)]

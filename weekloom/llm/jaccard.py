@@ -225,8 +225,13 @@ def link_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str
                    .select("doc_id", "rep", "f1", "f2"), "classes")
     tied = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a != b")
     tied = member.join(tied, "doc_id").select("a", F.col("rep").alias("b")).where("a != b")
-    reps = stage(full.join(member.where("doc_id = rep"), ["doc_id", "f1", "f2"]).select("doc_id", "n", "sketch"), "reps")
-    link_texts = texts.where("doc_id is not null")
+    # equal rows of one id have equal fingerprints: one of them stands for all
+    first = full.groupBy("doc_id", "f1", "f2").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    reps = stage(first.join(member.where("doc_id = rep"), ["doc_id", "f1", "f2"]).select("doc_id", "n", "sketch"), "reps")
+    again = stage(full.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"), "repeated")
+    named = texts.where("doc_id is not null")
+    link_texts = scan.only_ids(named, again, "doc_id", "left_anti").unionByName(
+        scan.only_ids(named, again, "doc_id").dropDuplicates(["doc_id", "text"]))
 
     keys = link_texts.mapInArrow(_keys(k, bands), "key long, doc_id long")
     of_key = Window.partitionBy("key")
