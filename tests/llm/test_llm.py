@@ -161,6 +161,36 @@ def test_similar_lines_are_not_lost(spark):
     assert gone == set(range(1, len(rows), 2))
 
 
+def test_lines_equal_all_pairs(spark):
+    """Components of all pairs of 500 lines: edited copies, short and repetitive lines, over and under the limit."""
+    r = random.Random(3)
+    made = []
+    while len(made) < 500:
+        base = r.choice([prose(len(made), r.randint(2, 90)), "ab" * r.randint(3, 400), "abcde" * r.randint(2, 300) + "xyz", "".join(r.choices("ab", k=90))])
+        made.append(base)
+        for _ in range(r.randint(0, 3)):
+            x = list(base)
+            for _ in range(r.randint(0, max(1, len(x) // 40))):
+                x[r.randrange(len(x))] = r.choice("abcdefghij")
+            made.append("".join(x))
+    made = list(dict.fromkeys(x.strip() for x in made))
+    sets = [{x[i : i + 5] for i in range(max(1, len(x) - 4))} for x in made]
+    root = list(range(len(made)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                x, y = sorted((top(i), top(j)))
+                root[y] = x
+    got = {x.doc_id for x in lines.removed_lines(docs(spark, list(enumerate(made)))).where("n_removed > 0").collect()}
+    assert got == {i for i in range(len(made)) if top(i) != i} and len(got) > 150
+
+
 def test_leaks(spark):
     items = [(1, prose(50, 20).capitalize() + ". " + prose(51, 15) + "."), (2, prose(52, 12) + "? " + prose(53, 8) + "."), (3, None), (4, ""),
              (5, "too short"), (None, prose(54, 20))]
