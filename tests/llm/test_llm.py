@@ -1,6 +1,7 @@
 """Small fixtures against brute force; nulls, empty and repeated rows, empty tables, extra columns."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -358,6 +359,38 @@ def test_scores_stay_whole():
     assert topk.scores(mid, mid)[0, 0] == (2**27 + 1) ** 2 + 9
 
 
+def every_cut(value, ranks):
+    """The cheapest cut of a short value with every repeat of every unit from every start."""
+    n, best = len(value), [0.0] + [math.inf] * len(value)
+    for i in range(n):
+        for j in range(i + 1, n + 1):
+            # the whole cost of a span by the operator, of a piece that it cannot cut more cheaply
+            x = value[i:j]
+            best[j] = min(best[j], best[i] + sum(map(secrets._brute, x)) + secrets.SPAN_COST)
+            if x in ranks:
+                best[j] = min(best[j], best[i] + math.log10(ranks[x] + 1) + secrets.SPAN_COST)
+            for unit in range(1, 9):
+                times, rest = divmod(j - i, unit)
+                if times >= 2 and not rest and x == x[:unit] * times:
+                    cost = min(sum(map(secrets._brute, x[:unit])), math.log10(ranks.get(x[:unit], math.inf) + 1))
+                    best[j] = min(best[j], best[i] + cost + math.log10(times) + secrets.SPAN_COST)
+    return best[n]
+
+
+def test_guess_cost_of_repeats():
+    r = random.Random(8)
+    ranks = {"z": 1, "zz": 3, "zqz": 2, "vx": 5, "zzzzv": 4, "qqqqqq": 7}
+    for _ in range(1500):
+        piece = "".join(r.choices("zqvx", k=r.randint(1, 5)))
+        value = "".join(r.choices("zqvx", k=r.randint(0, 4))) + piece * r.randint(1, 6) + "".join(r.choices("zq", k=r.randint(0, 5)))
+        assert abs(secrets.guess_cost(value, ranks) - every_cut(value, ranks)) < 1e-9, value
+    begun = time.process_time()
+    secrets.guess_cost("a" * 20_000, {"a": 1})
+    short = time.process_time() - begun
+    secrets.guess_cost("a" * 80_000, {"a": 1})
+    assert time.process_time() - begun - short < 10 * short
+
+
 def brute_spans(text):
     text, out = text or "", []
     for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):

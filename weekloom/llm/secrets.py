@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weekloom.staging import stage
+
 
 # Fixed patterns and kinds, in the order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex", "guess")
@@ -38,6 +40,8 @@ DICTIONARY_WORDS = 20_000
 LONGEST_WORD = 32
 COSTLY = 10.0
 SPAN_COST = math.log10(2)
+#: Repeats are of units of up to so many characters.
+REPEAT_UNIT = 8
 BRUTE = {"digit": 1.0, "letter": math.log10(26), "other": math.log10(33), "wide": 4.0}
 PLACE = {c: [(r, row.index(c)) for r, row in enumerate(ROWS) if c in row] for c in set("".join(ROWS))}
 PLAIN = str.maketrans("@4301!5$7", "aaeoiisst")
@@ -82,8 +86,27 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
     def offer(i: int, j: int, cost: float) -> None:
         best[j] = min(best[j], best[i] + cost + SPAN_COST)
 
+    # by unit length and place in the unit: the starts within the run of equal units that ends here
+    starts: list[list[list[int]]] = [[[] for _ in range(unit)] for unit in range(REPEAT_UNIT + 1)]
+    def offer_repeats(unit: int, j: int) -> None:
+        """Two and more equal units that end at ``j``; starts that can win no more are not kept."""
+        first, place = j - unit, starts[unit][j % unit]
+        if first < unit or value[first - unit : first] != value[first:j]:
+            place[:] = [first]
+            return
+        piece = value[first:j]
+        cost = sum(map(_brute, piece))
+        if rank := ranks.get(low[first:j]):
+            cost = min(cost, math.log10(rank + 1))
+        for i in place:
+            offer(i, j, cost + math.log10((j - i) // unit))
+        # twice or more from ``first`` never beats the longer run from ``i``, now or later
+        if all(best[first] < best[i] + math.log10(((first - i) // unit + 2) / 2) for i in place):
+            place.append(first)
+
     for i in range(n):
-        cost = 0.0
+        for unit in range(1, min(REPEAT_UNIT, i) + 1):
+            offer_repeats(unit, i)
         run = 0.0
         for j in range(i + 1, min(n, i + LONGEST_WORD) + 1):  # a longer brute-force span is several
             run += _brute(value[j - 1])
@@ -105,16 +128,8 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
                     j, q = j + 1, q + step
                     if j - i >= 3:
                         offer(i, j, math.log10(94 * 2 * (j - i)) + _case_cost(value[i:j]))
-        # repeats of a unit of up to 8 characters
-        for unit in range(1, min(8, n - i) + 1):
-            piece = value[i : i + unit]
-            cost = sum(map(_brute, piece))
-            if rank := ranks.get(low[i : i + unit]):
-                cost = min(cost, math.log10(rank + 1))
-            j, times = i + unit, 1
-            while value.startswith(piece, j):
-                j, times = j + unit, times + 1
-                offer(i, j, cost + math.log10(times))
+    for unit in range(1, min(REPEAT_UNIT, n) + 1):
+        offer_repeats(unit, n)
     return best[n]
 
 
@@ -161,7 +176,16 @@ def word_ranks(docs: DataFrame, most: int = DICTIONARY_WORDS) -> dict[str, int]:
     Words are runs of small ASCII letters, at least three; capitals count as small.
     """
     counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_count, "word string, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
+    counts = stage(counts.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # sixteen bins to a doubling of the count: at most a thousand rows, at every size
+    level = F.floor(F.log2("n") * 16).cast("int")
+    left, lowest = most, 0
+    for row in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("level")).collect():
+        lowest, left = row["level"], left - row["words"]
+        if left <= 0:
+            break
+    # eight parts, so that the driver gets at most eight times the words it keeps
+    top = counts.where(level >= lowest).repartition(8, "word").orderBy(F.desc("n"), "word").limit(most)
     return {r["word"]: i + 1 for i, r in enumerate(top.collect())}  # of fixed size
 
 
