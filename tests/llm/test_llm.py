@@ -463,6 +463,28 @@ def test_icons_and_custom_elements_swallow_nothing(icon):
     assert wrapper.main_text(page) == "one two"
 
 
+LONG = "Words of the article itself go on here for a while, as articles do."
+
+
+@pytest.mark.parametrize("source, text", [
+    ('<div class="layout has-sidebar"><article><p>{0}</p></article><div class="sidebar">side</div></div>', "{0}"),
+    ('<div class="no-sidebar"><article><p>{0}</p></article></div>', "{0}"),
+    ('<section class="long-form"><p>{0}</p></section>', "{0}"),
+    ('<form id="aspnetForm"><nav>menu</nav><article><p>{0}</p></article></form>', "{0}"),
+    ('<form id="aspnetForm"><nav>menu</nav><div><p>{0}</p></div></form><footer>foot</footer>', "{0}"),
+    ('<article><p>{0}</p><section id="search-results-explained"><p>More</p></section></article>', "{0} More"),
+    ('<article><p>{0}</p></article><article><p>Second</p></article>', "{0} Second"),
+    ('<article><p>Short</p></article><section class="comments"><article><p>{0}</p></article></section>', "Short"),
+    ('<article><p>{0}</p><div class="share-buttons">Share</div><div class="post-comments-list"><p>{0}</p></div></article>', "{0}"),
+    ('<article><p>{0}</p><form><p>Mail us</p></form></article><aside><article>Teaser</article></aside>', "{0}"),
+    ('<article><p>{0}</p></article><article class="related-post"><p>Other</p></article>', "{0}"),
+    ('<div class="widget-wrap"><article class="promo"><p>{0}</p></article></div>', "{0}"),
+])
+def test_no_article_is_lost(source, text):
+    page = wrapper.parse(f"<html><body>{source.format(LONG)}</body></html>")
+    assert wrapper.main_text(page) == text.format(LONG)
+
+
 def test_simple_tree_matching_counts_the_largest_match():
     r = random.Random(4)
 

@@ -45,6 +45,15 @@ DROP_WORDS = frozenset(
     " newsletter subscribe subscription signup login social share sharing related recommended pagination pager comment comments"
     " disqus reply replies respond discussion form search widget toolbar tooltip masthead topbar skip contentinfo"
     " complementary dialog".split())
+#: Reader comments, which are never taken for the article, however long.
+COMMENT_WORDS = frozenset("comment comments reply replies disqus respond discussion".split())
+#: Words that mark an element in any compound; the others must be half of the compound's words at least.
+SURE_WORDS = COMMENT_WORDS | frozenset("nav navbar breadcrumb breadcrumbs sidebar cookie cookies advert advertisement newsletter pagination".split())
+#: Compounds that begin so tell of the layout around, not of the element; ``WHOLE_WORDS`` mark only alone.
+STATE = re.compile(r"(?:has|have|no|not|is|with|without|hide|show)[-_]")
+WHOLE_WORDS = frozenset(("form", "search", "alert", "head"))
+#: An element of a listed word is a container after all if it holds more than so many per cent of the page's text, a form half.
+CONTAINER_PERCENT, FORM_PERCENT = 75, 50
 HEADER_WORDS = frozenset(("header", "head"))
 MAIN_WORDS = frozenset(("main", "articlebody"))
 DEEPEST = 120
@@ -79,10 +88,24 @@ def _attributes(raw: str) -> frozenset:
         if name == "hidden" or name == "aria-hidden" and value == "true":
             found.add("popup")
         else:
-            found.update(w for w in re.split(r"[^a-z0-9]+", value) if w)
+            for compound in value.split():
+                found |= _marks(compound)
     return frozenset(found)
 
 
+def _marks(compound: str) -> set[str]:
+    """The words of one class, id or role; listed ones that do not mark the element follow a dash."""
+    parts = [w for w in re.split(r"[^a-z0-9]+", compound) if w]
+    listed = {w for w in parts if w in DROP_WORDS or w in HEADER_WORDS or w in MAIN_WORDS}
+    if STATE.match(compound):
+        marks: set[str] = set()
+    else:
+        marks = {w for w in listed if len(parts) == 1 or w not in WHOLE_WORDS}
+        if 2 * sum(w in marks for w in parts) < len(parts):
+            marks &= SURE_WORDS
+    return {w if w in marks or w not in listed else f"-{w}" for w in parts}
+
+
 def parse(source: str) -> Page:
     """The tree of block elements; wrong nesting and missing ends are mended as browsers do."""
     page = Page(["#"], [-1], [frozenset()])
@@ -152,24 +175,58 @@ def parse(source: str) -> Page:
     return page
 
 
+def _region(page: Page, i: int) -> bool:
+    """Whether an element is one for the article; reader comments are none."""
+    return (page.tag[i] in ("article", "main") or bool(page.words[i] & MAIN_WORDS)) and not page.words[i] & COMMENT_WORDS
+
+
 def dropped(page: Page) -> list[bool]:
-    """For each element whether it or one above it marks what is not the article."""
+    """For each element whether it or one above it marks what is not the article.
+
+    A form or an element of a listed word that holds most of the page's text is a container, not a
+    mark. Where every region for the article would go, the largest that stands in no menu, footer,
+    sidebar or comments stays, with all that it stands in.
+    """
     n = len(page.tag)
+    size = [0] * n
+    for o, t in zip(page.owner, page.text, strict=True):
+        size[o] += len(t)
+    for i in range(n - 1, 0, -1):
+        size[page.parent[i]] += size[i]
     inside = [False] * n  # of an article or the main element
-    out = [False] * n
+    own = [False] * n
+    firm = [False] * n  # never a container, and nothing in it is the article
     for i in range(1, n):
         tag, words, up = page.tag[i], page.words[i], page.parent[i]
-        region = tag in ("article", "main") or bool(words & MAIN_WORDS)
-        inside[i] = inside[up] or region
-        bad = tag in DROP_TAGS or tag == "header" and not inside[i]
-        if not bad and words and tag not in ("html", "body", "main") and not (tag == "article" and not words & {"comment", "comments", "reply"}):
-            bad = bool(words & DROP_WORDS) or not inside[up] and bool(words & HEADER_WORDS)
-        out[i] = out[up] or bad
+        inside[i] = inside[up] or tag in ("article", "main") or bool(words & MAIN_WORDS)
+        by_tag = tag in DROP_TAGS or tag == "header" and not inside[i]
+        by_word = tag not in ("html", "body", "main") and (
+            bool(words & DROP_WORDS) or not inside[up] and tag != "article" and bool(words & HEADER_WORDS))
+        firm[i] = firm[up] or by_tag and tag not in ("form", "header") or bool(words & COMMENT_WORDS) and by_word
+        most = FORM_PERCENT if tag == "form" or "form" in words else CONTAINER_PERCENT
+        own[i] = (by_tag or by_word) and (firm[i] or 100 * size[i] <= most * size[0])
+
+    def spread() -> list[bool]:
+        out = [False] * n
+        for i in range(1, n):
+            out[i] = own[i] or out[page.parent[i]]
+        return out
+
+    out = spread()
+    regions = [i for i in range(1, n) if size[i] and _region(page, i)]
+    if regions and all(out[i] for i in regions):
+        free = [i for i in regions if not firm[i]]
+        if free:
+            i = max(free, key=lambda i: (size[i], -i))
+            while i > 0:
+                own[i] = False
+                i = page.parent[i]
+            out = spread()
     return out
 
 
 def main_text(page: Page, template: frozenset = frozenset()) -> str:
-    """Blocks of the article region, without dropped elements and template blocks."""
+    """Blocks of all article regions in page order, without dropped elements and template blocks."""
     bad = dropped(page)
     n = len(page.tag)
     size = [0] * n
@@ -178,12 +235,12 @@ def main_text(page: Page, template: frozenset = frozenset()) -> str:
             size[o] += len(t)
     for i in range(n - 1, 0, -1):
         size[page.parent[i]] += size[i]
-    regions = [i for i in range(1, n) if not bad[i] and size[i] and page.tag[i] == "article"]
-    regions = regions or [i for i in range(1, n) if not bad[i] and size[i] and (page.tag[i] == "main" or page.words[i] & MAIN_WORDS)]
-    root = max(regions, key=lambda i: (size[i], -i)) if regions else 0
+    regions = {i for i in range(1, n) if not bad[i] and size[i] and page.tag[i] == "article"}
+    regions = regions or {i for i in range(1, n) if not bad[i] and size[i] and (page.tag[i] == "main" or page.words[i] & MAIN_WORDS)}
+    regions = regions or {0}
     under = [False] * n
     for i in range(n):
-        under[i] = i == root or i > 0 and under[page.parent[i]]
+        under[i] = i in regions or i > 0 and under[page.parent[i]]
     return " ".join(t for i, (o, t) in enumerate(zip(page.owner, page.text, strict=True))
                     if under[o] and not bad[o] and i not in template)
 
