@@ -127,3 +127,18 @@ def test_union_fills_missing_columns(spark):
     a = spark.createDataFrame([(1, "x")], "entity_id int, segment string")
     b = spark.createDataFrame([(2,)], "entity_id int")
     assert sorted((r.entity_id, r.segment or "") for r in P.union_panels([a, b]).collect()) == [(1, "x"), (2, "")]
+
+
+def test_learned_levels(spark):
+    days = spark.createDataFrame(
+        [(D(2024, 1, 1), 0, 0, 0), (D(2024, 1, 2), 0, 0, 0), (D(2024, 1, 6), 1, 0, 0), (D(2024, 1, 28), 1, 1, 0)],
+        "day date, is_weekend int, is_payday int, is_event int")
+    entities = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "entity_id int, segment string")
+    daily = spark.createDataFrame(
+        [(1, D(2024, 1, 1), 8.0, 2), (1, D(2024, 1, 6), 4.0, 1), (2, D(2024, 1, 28), 12.0, 3)],
+        "entity_id int, day date, value double, n_ok long")
+    got = {r.segment: tuple(r)[1:] for r in P.learned_levels(daily, entities, days, ROLES).collect()}
+    # two entities and two plain days: 8 / 4; weekends 16 / 4; paydays 12 / 2; no event days at all
+    assert got["a"] == (2, 2.0, 2.0, 3.0, None, 4.0)
+    assert got["b"] == (1, 0.0, None, None, None, None)
+    assert P.learned_levels(daily, entities.where("false"), days, ROLES).count() == 0

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weekloom import constants as K
 from weekloom.functions import clip, exact_sum, truncated
+from weekloom.functions.numbers import safe_ratio
 from weekloom.operators.calendar import Date, bounded, to_date, trend_index
 from weekloom.roles import Roles
 
@@ -159,6 +160,37 @@ def expected_level(
     return joined.withColumn(name, level).drop(base, weekend_f, payday_f)
 
 
+def learned_levels(
+    daily: DataFrame, entities: DataFrame, days: DataFrame, roles: Roles = Roles()
+) -> DataFrame:
+    """Per segment: mean value of an entity's plain day, what flagged days are to it, and the ticket.
+
+    ``daily`` holds observed days only (``daily_totals``); days of ``days`` without a row count as
+    zero, by the number of entities and days, so no dense panel is built. A plain day has none of
+    the three flags; each factor is the mean over days of its flag divided by the plain mean.
+    Zero denominators give NULL; a segment without any row has a mean of zero.
+    """
+    flags = [roles.weekend, roles.payday, roles.event]
+    kinds = {"base": F.greatest(*flags) == 0} | {f: F.col(f) == 1 for f in flags}
+    n_days = days.agg(*[F.count_if(on).alias(k) for k, on in kinds.items()]).first()
+    seen = daily.select(roles.entity, roles.day, roles.value, roles.n_ok).join(
+        days.select(roles.day, *flags), roles.day)
+    # one row an entity before the segments meet, so that a large segment is no hot spot
+    per = seen.groupBy(roles.entity).agg(
+        *[F.coalesce(exact_sum(F.when(on, F.col(roles.value)), roles.scale), F.lit(0)).alias(f"s_{k}") for k, on in kinds.items()],
+        exact_sum(F.col(roles.value), roles.scale).alias("s_all"), F.sum(roles.n_ok).alias("s_ok"))
+    sums = entities.select(roles.entity, roles.segment).join(per, roles.entity, "left").groupBy(roles.segment).agg(
+        F.count(F.lit(1)).alias("entities"),
+        *[F.coalesce(exact_sum(F.col(c), roles.scale if c != "s_ok" else None), F.lit(0)).alias(c)
+          for c in (*[f"s_{k}" for k in kinds], "s_all", "s_ok")])
+    mean = {k: safe_ratio(F.col(f"s_{k}"), F.col("entities") * F.lit(n_days[k])) for k in kinds}
+    return sums.select(
+        roles.segment, "entities", mean["base"].alias("base"),
+        *[safe_ratio(mean[f], mean["base"]).alias(f"{f}_factor") for f in flags],
+        safe_ratio(F.col("s_all"), F.col("s_ok")).alias("ticket"),
+    )
+
+
 def derived_count(
     value: Column,
     ticket: Column,

@@ -378,6 +378,19 @@ def oracle_sql() -> dict[str, str]:
             "daily", "ent",
         ),
         "expected_level": sql(LEVEL, "ent", "cal"),
+        "learned_levels": sql(
+            """SELECT segment, CAST(count(DISTINCT entity_id) AS BIGINT) AS entities, round(base, 4) AS base,
+                      round(w / base, 4) AS is_weekend_factor, round(p / base, 4) AS is_payday_factor,
+                      round(e / base, 4) AS is_event_factor, round(ticket, 4) AS ticket
+               FROM (SELECT segment, entity_id,
+                            sum(value) FILTER (is_weekend = 0 AND is_payday = 0 AND is_event = 0) OVER s
+                              / count(*) FILTER (is_weekend = 0 AND is_payday = 0 AND is_event = 0) OVER s AS base,
+                            avg(value) FILTER (is_weekend = 1) OVER s AS w, avg(value) FILTER (is_payday = 1) OVER s AS p,
+                            avg(value) FILTER (is_event = 1) OVER s AS e, sum(value) OVER s / sum(n_ok) OVER s AS ticket
+                     FROM panel WINDOW s AS (PARTITION BY segment))
+               GROUP BY ALL""",
+            "panel",
+        ),
         "derived_count": sql(
             f"""SELECT entity_id, day, value, greatest(1, CAST(trunc(value /
                   (CAST({TICKET} AS DOUBLE) * CASE WHEN segment = 'ASIA' THEN 1.25 ELSE 1 END)) AS BIGINT)) AS n_derived

@@ -168,6 +168,12 @@ def expected_level(spark, sf):
     return expected_panel(spark, sf).select("entity_id", "day", "expected")
 
 
+def learned_levels(spark, sf):
+    """Plain-day mean, factors of flagged days and ticket of every region, learned from the line items."""
+    out = panel.learned_levels(daily(spark, sf), star.suppliers(spark, sf), days(spark), ROLES)
+    return out.select("segment", "entities", *[F.round(c, 4).alias(c) for c in out.columns[2:]])
+
+
 def derived_count(spark, sf):
     """Transactions behind each observed daily value at a fixed ticket."""
     rows = daily(spark, sf).join(star.suppliers(spark, sf).select("entity_id", "segment"), "entity_id")
@@ -880,6 +886,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "entity_day_panel": entity_day_panel,
     "panel_union": panel_union,
     "expected_level": expected_level,
+    "learned_levels": learned_levels,
     "derived_count": derived_count,
     "masked_measures": masked_measures,
     "weekly_rollup": weekly_rollup,
