@@ -2,9 +2,7 @@
 
 import random
 
-import pytest
-
-pipeline = pytest.importorskip("corpus_pipeline")
+import corpus_pipeline as pipeline
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = "alpha beta gamma delta river stone cloud maple ember frost harbor meadow lantern quartz willow copper".split()
