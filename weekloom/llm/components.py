@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from weekloom.staging import stage
 
 
-#: All remaining pairs are verified at once if there are at most this many.
-PAIRS_PER_ROW, FEW_PAIRS = 30, 1_000_000
+#: Parts of a key that name leaders of their own, and how many times more lead each round.
+SALTS = 16
 EDGES_PER_FILE = 200_000
 
 
@@ -53,38 +53,58 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
-def link_by_keys(members: DataFrame, verify: Callable[[DataFrame], DataFrame], ties: DataFrame) -> DataFrame:
+def _unsettled(members: DataFrame) -> DataFrame:
+    """``members`` of the keys that hold several components; extremes by partial sums, so that a large key is no hot spot."""
+    keys = members.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("key")
+    return members.join(keys, "key", "left_semi")
+
+
+def link_by_keys(
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], ties: DataFrame, traits: DataFrame, may_link: str
+) -> DataFrame:
     """``(node, root)`` of everything linked among rows ``(key, rep)`` that share a key.
 
     Each key's smallest member is paired with its others and ``verify`` keeps the pairs
-    ``(a, b)`` that hold, with their other columns. Where a key then still has members of
-    several components, further members lead, until each pair is verified or in one component:
-    as ``verify`` would link all pairs, without listing them. A pair carries the roots of its
-    ends, so later rounds join components and do not go back to the links. ``ties`` are links
-    known before.
+    ``(a, b)`` that hold, with their other columns. A member that has led is done. Where a key
+    then still has members of several components, further members lead, until each pair is
+    verified or in one component: as ``verify`` would link all pairs, without listing them.
+    These members carry their ``traits`` (a table with a column ``rep``), and a pair is made only
+    if ``may_link`` holds, a condition on traits with ``_a`` and ``_b`` after their names that no
+    pair that ``verify`` keeps fails. Later leaders are the first of each of ``SALTS`` parts of a key, then
+    ``SALTS`` times as many a round. A pair carries the roots of its ends, so later rounds join
+    components and do not go back to the links. ``ties`` are links known before.
     """
-    of_key = Window.partitionBy("key")
-    place = F.row_number().over(of_key.orderBy("rep")).alias("place")
-    left = stage(members.select("key", "rep", place, F.col("rep").alias("root")), "members")
-    known, maps, first, last = ties.select(F.col("a").alias("root_a"), F.col("b").alias("root_b")), [], 1, 1
-    while True:
-        lead = left.where(F.col("place").between(first, last)).select(
-            "key", F.col("rep").alias("a"), F.col("place").alias("at"), F.col("root").alias("root_a"))
-        pairs = lead.join(left, "key").where("at < place and root_a != root")
-        pairs = pairs.select("a", F.col("rep").alias("b"), "root_a", F.col("root").alias("root_b")).distinct()
-        found = verify(pairs).select("root_a", "root_b")
-        maps.append(components(found if maps else found.unionByName(known), "root_a", "root_b"))
-        now = maps[-1].select("node", F.col("root").alias("now"))
-        rooted = left.join(now, F.col("root") == F.col("node"), "left").select(
-            "key", "rep", "place", F.coalesce("now", "root").alias("root"))
-        spread = rooted.select("*", F.min("root").over(of_key).alias("r0"), F.max("root").over(of_key).alias("r1"),
-                               F.max("place").over(of_key).alias("most"))
-        left = stage(spread.where(f"r0 != r1 and most > {last + 1}").select("key", "rep", "place", "root"), "rest")
-        todo = left.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("place") - 1).cast("double").alias("pairs")).first()
-        if not todo["n"]:
-            break
-        at_once = todo["pairs"] <= PAIRS_PER_ROW * todo["n"] + FEW_PAIRS
-        first, last = last + 1, (1 << 30) if at_once else 4 * last + 1
+    held = [c for c in traits.columns if c != "rep"]
+    members = stage(members.select("key", "rep"), "members")
+    low = members.groupBy("key").agg(F.min("rep").alias("a"))
+    pairs = members.join(low, "key").where("a < rep").select("a", F.col("rep").alias("b"))
+    pairs = pairs.distinct().select("a", "b", F.col("a").alias("root_a"), F.col("b").alias("root_b"))
+    found = verify(pairs).select("root_a", "root_b")
+    maps = [components(found.unionByName(ties.select(F.col("a").alias("root_a"), F.col("b").alias("root_b"))), "root_a", "root_b")]
+
+    left = members.join(low, "key").where("a < rep").select("key", "rep", F.col("rep").alias("root"))
+    left = stage(_unsettled(_renamed(left, maps[-1])), "rest")
+    part = Window.partitionBy("key", F.pmod(F.xxhash64("rep"), F.lit(SALTS))).orderBy("rep")
+    left = stage(left.withColumn("place", F.row_number().over(part)).join(traits, "rep"), "rest")
+    last = 1
+    while not left.isEmpty():
+        lead = left.where(F.col("place") <= last).select(
+            "key", F.col("rep").alias("a"), F.col("root").alias("root_a"),
+            *[F.col(c).alias(f"{c}_a") for c in held])
+        others = left.select("key", F.col("rep").alias("b"), "place", F.col("root").alias("root_b"),
+                             *[F.col(c).alias(f"{c}_b") for c in held])
+        # of two leaders one leads the other
+        pairs = lead.join(others, "key").where(f"root_a != root_b and (place > {last} or a < b) and ({may_link})")
+        found = verify(pairs.select("a", "b", "root_a", "root_b").distinct()).select("root_a", "root_b")
+        maps.append(components(found, "root_a", "root_b"))
+        left = stage(_unsettled(_renamed(left.where(F.col("place") > last), maps[-1])), "rest")
+        last *= SALTS
     if len(maps) == 1:
         return maps[0]
     return components(reduce(DataFrame.unionByName, maps), "node", "root")
+
+
+def _renamed(members: DataFrame, now: DataFrame) -> DataFrame:
+    """``members`` with the roots of their roots."""
+    now = now.select("node", F.col("root").alias("now"))
+    return members.join(now, F.col("root") == F.col("node"), "left").withColumn("root", F.coalesce("now", "root")).drop("now", "node")

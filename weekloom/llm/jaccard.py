@@ -12,8 +12,9 @@ is in the same band or the next, and a document is keyed for both.
 Exact copies of a set share a fingerprint and are one class; a task emits the keys of a class
 once. Within a key the smallest id is paired with the others (no pairs among all), a folded
 1024-bit sketch bounds the difference from below, and what is left is verified on the sets.
-Where a key still holds several components, further members become leaders, round by round, until
-each pair of members is verified or in one component: no link is lost.
+Where a key still holds several components, its members carry size and sketch and further ones
+become leaders, round by round, paired only where the bound allows it, until each pair of members
+is ruled out, verified or in one component: no link is lost.
 """
 
 from __future__ import annotations
@@ -180,16 +181,19 @@ def _side(df: DataFrame, end: str) -> DataFrame:
     return df.select([F.col(c).alias(f"{c}_{end}") for c in df.columns])
 
 
+def _alike(percent: int) -> str:
+    """Sizes and folded sketches ``_a`` and ``_b`` leave room for a similarity of ``percent`` / 100."""
+    differ = " + ".join(f"bit_count(sketch_a[{i}] ^ sketch_b[{i}])" for i in range(FOLD_WORDS))
+    return (f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+            f" and ({differ}) * {100 + percent} <= (n_a + n_b) * {100 - percent}")
+
+
 def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFrame:
     """The pairs ``(a, b)`` of class representatives that are similar enough, by their whole sets."""
     bounded = (
         pairs.join(_side(reps, "a"), F.col("a") == F.col("doc_id_a"))
         .join(_side(reps, "b"), F.col("b") == F.col("doc_id_b"))
-        .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-        .where(
-            "aggregate(zip_with(sketch_a, sketch_b, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
-            f" * {100 + percent} <= (n_a + n_b) * {100 - percent}"
-        )
+        .where(_alike(percent))
         .select(*pairs.columns)
     )
     pairs = stage(bounded, "pairs")
@@ -246,7 +250,8 @@ def link_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str
     def verify(pairs: DataFrame) -> DataFrame:
         return _verified(pairs, reps, link_texts, percent, k)
 
-    joined = link_by_keys(multi, verify, tied.select("a", "b"))
+    traits = reps.withColumnRenamed("doc_id", "rep")
+    joined = link_by_keys(multi, verify, tied.select("a", "b"), traits, _alike(percent))
     roots = joined.select(F.col("node").alias("rep"), "root")
     labels = rep_of.join(roots, "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("component"))
     return profile.select("doc_id", F.col("n").alias("n_shingles")).join(labels, "doc_id", "left").select(
