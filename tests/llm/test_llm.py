@@ -1,6 +1,7 @@
 """Small fixtures against brute force; nulls, empty and repeated rows, empty tables, extra columns."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -523,3 +524,39 @@ def test_pipeline_stages(spark):
     leaked = {r.doc_id for r in decontaminate.leaks(out, spark.read.parquet(f"{sf}/benchmark.parquet")).collect()}
     assert clean == {i for i, _ in rows} - leaked
     assert "shard" in corpus_pipeline.sharded(spark, out, sf).columns
+
+
+def test_keys_link_as_all_pairs_do(spark):
+    rng = random.Random(5)
+    # spots on a line: near ones link, in chains; most others have no partner at all
+    spot = {i: rng.randrange(3000) for i in range(400)}
+    keys = {i: {"one", f"some{i % 3}"} for i in spot} | {400: {"alone"}, 401: {"pair"}, 402: {"pair"}}
+    spot |= {400: 1, 401: 1, 402: 9}
+    members = spark.createDataFrame([(k, i) for i in keys for k in sorted(keys[i])], "key string, rep long")
+    traits = spark.createDataFrame(list(spot.items()), "rep long, x long")
+    made = []
+
+    def verify(pairs):
+        at = [F.col("rep"), F.col("x")]
+        both = pairs.join(traits.select(at[0].alias("a"), at[1].alias("x_a")), "a").join(
+            traits.select(at[0].alias("b"), at[1].alias("x_b")), "b")
+        made.append(both.select("a", "b").collect())
+        return both.where("abs(x_a - x_b) <= 2").select(*pairs.columns)
+
+    ties = spark.createDataFrame([(400, 402)], "a long, b long")
+    got = components.link_by_keys(members, verify, ties, traits, "abs(x_a - x_b) <= 4")
+    got = {r.node: r.root for r in got.collect()}
+    root = {i: i for i in spot}
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    near = {(i, j) for i, j in itertools.combinations(spot, 2) if keys[i] & keys[j] and abs(spot[i] - spot[j]) <= 2}
+    for i, j in sorted(near) + [(400, 402)]:
+        a, b = sorted((find(i), find(j)))
+        root[b] = a
+    assert {i: got.get(i, i) for i in spot} == {i: find(i) for i in spot}
+    # leaders of the first round meet all members of their keys, later ones only what the condition allows
+    assert len(made) > 2 and all(abs(spot[a] - spot[b]) <= 4 for pairs in made[1:] for a, b in pairs)
+    none = components.link_by_keys(members.where("false"), verify, ties.where("false"), traits, "true")
+    assert none.count() == 0
