@@ -544,7 +544,7 @@ def test_keys_link_as_all_pairs_do(spark):
         return both.where("abs(x_a - x_b) <= 2").select(*pairs.columns)
 
     ties = spark.createDataFrame([(400, 402)], "a long, b long")
-    got = components.link_by_keys(members, verify, ties, traits, "abs(x_a - x_b) <= 4")
+    got = components.link_by_keys(components.with_lead(members), verify, ties, traits, "abs(x_a - x_b) <= 4")
     got = {r.node: r.root for r in got.collect()}
     root = {i: i for i in spot}
 
@@ -558,5 +558,5 @@ def test_keys_link_as_all_pairs_do(spark):
     assert {i: got.get(i, i) for i in spot} == {i: find(i) for i in spot}
     # leaders of the first round meet all members of their keys, later ones only what the condition allows
     assert len(made) > 2 and all(abs(spot[a] - spot[b]) <= 4 for pairs in made[1:] for a, b in pairs)
-    none = components.link_by_keys(members.where("false"), verify, ties.where("false"), traits, "true")
+    none = components.link_by_keys(components.with_lead(members.where("false")), verify, ties.where("false"), traits, "true")
     assert none.count() == 0

@@ -53,6 +53,12 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
+def with_lead(members: DataFrame) -> DataFrame:
+    """Rows ``(key, rep)`` with the smallest ``rep`` of their key, found by partial minima, as ``lead``."""
+    members = stage(members.select("key", "rep"), "keyed")
+    return members.join(members.groupBy("key").agg(F.min("rep").alias("lead")), "key")
+
+
 def _unsettled(members: DataFrame) -> DataFrame:
     """``members`` of the keys that hold several components; extremes by partial sums, so that a large key is no hot spot."""
     keys = members.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("key")
@@ -62,9 +68,9 @@ def _unsettled(members: DataFrame) -> DataFrame:
 def link_by_keys(
     members: DataFrame, verify: Callable[[DataFrame], DataFrame], ties: DataFrame, traits: DataFrame, may_link: str
 ) -> DataFrame:
-    """``(node, root)`` of everything linked among rows ``(key, rep)`` that share a key.
+    """``(node, root)`` of everything linked among rows ``(key, rep, lead)`` that share a key.
 
-    Each key's smallest member is paired with its others and ``verify`` keeps the pairs
+    Each key's smallest member, ``lead``, is paired with its others and ``verify`` keeps the pairs
     ``(a, b)`` that hold, with their other columns. A member that has led is done. Where a key
     then still has members of several components, further members lead, until each pair is
     verified or in one component: as ``verify`` would link all pairs, without listing them.
@@ -75,14 +81,13 @@ def link_by_keys(
     components and do not go back to the links. ``ties`` are links known before.
     """
     held = [c for c in traits.columns if c != "rep"]
-    members = stage(members.select("key", "rep"), "members")
-    low = members.groupBy("key").agg(F.min("rep").alias("a"))
-    pairs = members.join(low, "key").where("a < rep").select("a", F.col("rep").alias("b"))
-    pairs = pairs.distinct().select("a", "b", F.col("a").alias("root_a"), F.col("b").alias("root_b"))
+    led = stage(members.where("lead < rep").select("key", "rep", "lead"), "members")
+    pairs = led.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
+    pairs = pairs.select("a", "b", F.col("a").alias("root_a"), F.col("b").alias("root_b"))
     found = verify(pairs).select("root_a", "root_b")
     maps = [components(found.unionByName(ties.select(F.col("a").alias("root_a"), F.col("b").alias("root_b"))), "root_a", "root_b")]
 
-    left = members.join(low, "key").where("a < rep").select("key", "rep", F.col("rep").alias("root"))
+    left = led.select("key", "rep", F.col("rep").alias("root"))
     left = stage(_unsettled(_renamed(left, maps[-1])), "rest")
     part = Window.partitionBy("key", F.pmod(F.xxhash64("rep"), F.lit(SALTS))).orderBy("rep")
     left = stage(left.withColumn("place", F.row_number().over(part)).join(traits, "rep"), "rest")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.llm import scan
-from weekloom.llm.components import link_by_keys
+from weekloom.llm.components import link_by_keys, with_lead
 from weekloom.staging import stage
 
 U = np.uint64
@@ -251,7 +251,7 @@ def link_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str
         return _verified(pairs, reps, link_texts, percent, k)
 
     traits = reps.withColumnRenamed("doc_id", "rep")
-    joined = link_by_keys(multi, verify, tied.select("a", "b"), traits, _alike(percent))
+    joined = link_by_keys(with_lead(multi), verify, tied.select("a", "b"), traits, _alike(percent))
     roots = joined.select(F.col("node").alias("rep"), "root")
     labels = rep_of.join(roots, "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("component"))
     return profile.select("doc_id", F.col("n").alias("n_shingles")).join(labels, "doc_id", "left").select(
