@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from weekloom import Roles
-from weekloom.operators import calendar as C, panel as P, quality as Q
+from weekloom.operators import calendar as C, panel as P, quality as Q, rollup as R
 
 START, END = dt.date(2024, 1, 1), dt.date(2024, 1, 28)
 
@@ -29,3 +29,11 @@ def test_a_task_of_the_dense_panel_stays_bounded(spark, monkeypatch):
 def test_panel_tasks_follow_entities_and_days():
     assert P.panel_partitions(0, START, END) == P.LEAST_PARTITIONS
     assert P.panel_partitions(10 * P.PANEL_ROWS, START, START) == 10
+
+
+def test_a_task_of_the_weekly_rollup_stays_bounded(spark, monkeypatch):
+    monkeypatch.setattr(P, "PANEL_ROWS", 2_800)
+    weekly = R.weekly_rollup(_panel(spark, 4_000))
+    sizes = [r["count"] for r in weekly.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 4 * 4_000 and max(sizes) <= 2 * P.PANEL_ROWS // 7
+    assert weekly.agg(F.sum("wd"), F.sum("outage_days")).first() == (4_000.0, 27 * 4_000)
