@@ -560,3 +560,10 @@ def test_keys_link_as_all_pairs_do(spark):
     assert len(made) > 2 and all(abs(spot[a] - spot[b]) <= 4 for pairs in made[1:] for a, b in pairs)
     none = components.link_by_keys(components.with_lead(members.where("false")), verify, ties.where("false"), traits, "true")
     assert none.count() == 0
+
+
+def test_only_shared_band_keys_are_kept(spark):
+    rows = spark.createDataFrame([(1, [10, 11]), (2, [10, 12]), (3, [13, 11]), (4, None)], "id long, part0 array<long>")
+    other = spark.createDataFrame([(5, [10]), (6, [14])], "id long, part0 array<long>")
+    got = {tuple(r) for r in lines._shared_keys([rows, other], "part0").select("key", "rep", "lead").collect()}
+    assert got == {(10, 2, 1), (10, 5, 1), (11, 3, 1)}

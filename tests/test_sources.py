@@ -1,11 +1,12 @@
 import datetime as dt
+import glob
 
 import pytest
 from pyspark.sql import functions as F
 
 from weekloom import Roles, functions as W
 from weekloom.sources import tables
-from weekloom.staging import new_folder, stage, staging_root
+from weekloom.staging import FREE_KEY, new_folder, stage, staging_root
 
 ROWS = [("E0001", dt.date(2024, 1, 1), "Mall", 100.0, 3, 0, 0, 1, 0), ("E0002", dt.date(2024, 1, 2), "Rural", 0.0, 0, 0, 0, 1, 0)]
 
@@ -60,3 +61,14 @@ def test_text_and_numbers(spark):
         W.safe_ratio(F.lit(3), F.lit(0)),
     ).first()
     assert list(row) == ["E0007", "E12345", "loc_Mall", "95.8%", "96k", "1,432,552", 1.01, 2.0, -3, 5, 1, 3.0, None]
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    def files():
+        tops = [str(d) for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+        return {f for top in tops for f in glob.glob(f"{top}/*/shuffle_*.data")}
+
+    was, before = spark.conf.get(FREE_KEY), files()
+    out = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s")))
+    assert not files() - before and spark.conf.get(FREE_KEY) == was
+    assert out.agg(F.sum("s"), F.count("*")).first() == (499500, 7)
